@@ -70,4 +70,4 @@ select docs.doc_id, coalesce(sizes.n, 0) as n_shingles, r.root as component_id,
 from docs left join sizes using (doc_id) join (select doc_id, min(root) as root from reach group by doc_id) r using (doc_id)
 """
 
-ORACLES = {"op1_url_filters": OP1, "op2_decontamination": OP2, "op4_near_duplicates": OP4}
+ORACLES = {"op1_url_filters": OP1, "op2_decontamination": OP2, "op3_substring_dedup": OP3, "op4_near_duplicates": OP4}

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, decontamination, near_duplicates, quality, sharding, token_counts, url_filters
+from . import byte_bpe, decontamination, near_duplicates, quality, sharding, substring_dedup, token_counts, url_filters
 
 #: The public rule list of the url query: host, path, verdict.
 URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
@@ -33,6 +33,10 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.without_repeats(table(spark, sf_dir, "documents"))
+
+
 def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates.near_duplicates(table(spark, sf_dir, "documents"), shingle=2, percent=80)
 
@@ -60,6 +64,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_url_filters": op1_url_filters,
         "op2_decontamination": op2_decontamination,
+        "op3_substring_dedup": op3_substring_dedup,
         "op4_near_duplicates": op4_near_duplicates,
         "op6_sharding": op6_sharding,
         "op8_byte_bpe": op8_byte_bpe,
