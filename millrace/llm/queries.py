@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, decontamination, near_duplicates, quality, sharding, substring_dedup, token_counts, url_filters
+from . import byte_bpe, decontamination, near_duplicates, nearest, quality, sharding, substring_dedup, token_counts, url_filters
 
 #: The public rule list of the url query: host, path, verdict.
 URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
@@ -46,6 +46,10 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumns({"law": F.lit("bytes"), "grown_shard": F.lit(None).cast("int")})
 
 
+def op7_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest.nearest(table(spark, sf_dir, "embeddings"))
+
+
 def op8_byte_bpe(spark: SparkSession, sf_dir: str, ranks: str = "byte_bpe_50k.tiktoken") -> DataFrame:
     return byte_bpe.encode_digests(table(spark, sf_dir, "documents"), byte_bpe.read_ranks(tokenizer_path(ranks)))
 
@@ -67,6 +71,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_substring_dedup": op3_substring_dedup,
         "op4_near_duplicates": op4_near_duplicates,
         "op6_sharding": op6_sharding,
+        "op7_nearest": op7_nearest,
         "op8_byte_bpe": op8_byte_bpe,
         "op9_quality": op9_quality,
         "op10_token_counts": op10_token_counts,
