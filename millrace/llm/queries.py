@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, decontamination, near_duplicates, nearest, quality, sharding, substring_dedup, token_counts, url_filters
+from . import byte_bpe, decontamination, line_dedup, near_duplicates, nearest, quality, sharding, substring_dedup, token_counts, url_filters
 
 #: The public rule list of the url query: host, path, verdict.
 URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
@@ -41,6 +41,10 @@ def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates.near_duplicates(table(spark, sf_dir, "documents"), shingle=2, percent=80)
 
 
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.line_counts(table(spark, sf_dir, "documents"))
+
+
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = sharding.shard(table(spark, sf_dir, "documents"), 24, keep_at=sharding.map_folder(spark, uuid.uuid4().hex))
     return out.withColumns({"law": F.lit("bytes"), "grown_shard": F.lit(None).cast("int")})
@@ -70,6 +74,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_decontamination": op2_decontamination,
         "op3_substring_dedup": op3_substring_dedup,
         "op4_near_duplicates": op4_near_duplicates,
+        "op5_line_dedup": op5_line_dedup,
         "op6_sharding": op6_sharding,
         "op7_nearest": op7_nearest,
         "op8_byte_bpe": op8_byte_bpe,
