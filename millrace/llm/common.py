@@ -39,7 +39,13 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """df, written as a Parquet table to the shared folder and read again: it cuts the lineage and survives lost executors."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/millrace-{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    clean = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(clean, None)
+    spark.conf.set(clean, "true")  # the table stands for what it was made from
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.unset(clean) if before is None else spark.conf.set(clean, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -106,3 +112,53 @@ def rows_of(batches: Iterator[pa.RecordBatch], most_bytes: int = 16 << 20) -> It
         step = max(1, -(-batch.num_rows // n))
         for i in range(0, batch.num_rows, step):
             yield batch.slice(i, step)
+
+#: Fixed: the bytes at which bytes.split() splits.
+_SPACE = np.zeros(256, bool)
+_SPACE[[9, 10, 11, 12, 13, 32]] = True
+_BASE = 0x9E3779B97F4A7C15
+
+
+class SplitHashes:
+    """64-bit hashes of the words between white space, for a whole text at once.
+
+    A word's hash is the polynomial of its bytes' random values, taken from sums over the text; the powers are kept for as
+    many bytes as are handled together, and long texts are cut at white space.
+    """
+
+    def __init__(self, together: int = 1 << 20):
+        self.together = together
+        self.values = np.random.default_rng(64).integers(0, 1 << 63, 256, np.uint64) * np.uint64(2) + np.uint64(1)
+        self.powers = self.inverses = np.ones(1, np.uint64)
+
+    def _reach(self, n: int) -> None:
+        if len(self.powers) <= n:
+            n = max(2 * n, 1 << 14)
+            both = [np.full(n + 1, x, np.uint64) for x in (_BASE, pow(_BASE, -1, 1 << 64))]
+            for x in both:
+                x[0] = 1
+            self.powers, self.inverses = (np.cumprod(x, dtype=np.uint64) for x in both)
+
+    def _part(self, raw: bytes) -> np.ndarray:
+        b = np.frombuffer(raw, np.uint8)
+        self._reach(len(b))
+        inside = np.zeros(len(b) + 2, np.int8)
+        np.logical_not(_SPACE[b], out=inside[1:-1].view(bool))
+        edges = np.flatnonzero(inside[1:] != inside[:-1])
+        starts, ends = edges[::2], edges[1::2]
+        sums = np.zeros(len(b) + 1, np.uint64)
+        np.cumsum(self.values[b] * self.powers[: len(b)], out=sums[1:])
+        return mixed((sums[ends] - sums[starts]) * self.inverses[starts] + (ends - starts).astype(np.uint64))
+
+    def of(self, raw: bytes | None) -> np.ndarray:
+        if not raw:
+            return np.empty(0, np.uint64)
+        parts, at = [], 0
+        while len(raw) - at > self.together:
+            end = at + self.together
+            while end < len(raw) and not _SPACE[raw[end]]:
+                end += 1
+            parts.append(self._part(raw[at:end]))
+            at = end
+        parts.append(self._part(raw[at:]))
+        return np.concatenate(parts) if len(parts) > 1 else parts[0]

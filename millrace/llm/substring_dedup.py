@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordHashes, as_bytes, rows_of, stored, window_hashes
+from .common import SplitHashes, as_bytes, rows_of, stored, window_hashes
 
 WINDOW = 13
 
@@ -48,16 +48,16 @@ class Windows:
 
     def __init__(self, window: int = WINDOW):
         self.window, self.short = window, levels(window)[0]
-        self.hashes = WordHashes()
+        self.hashes = SplitHashes()
 
-    def of(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """(windows, runs): a hash of each window and the least hash of its short runs; both are empty for short texts."""
-        if len(words) < self.window:
-            return np.empty(0, np.uint64), np.empty(0, np.uint64)
-        h = self.hashes.of(words)
-        return window_hashes(h, self.window), self.runs(h)
+    def of(self, h: np.ndarray) -> np.ndarray:
+        """A hash of each window, of the hashes of the words; none for short texts."""
+        return window_hashes(h, self.window)
 
     def runs(self, h: np.ndarray) -> np.ndarray:
+        """The least hash of each window's short runs."""
+        if len(h) < self.window:
+            return np.empty(0, np.uint64)
         return least_in_windows(window_hashes(h, self.short), self.window - self.short + 1)
 
 
@@ -67,6 +67,12 @@ def _distinct(values: np.ndarray) -> np.ndarray:
     return np.unique(values)
 
 
+def _among(values: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Which of the values are known; known: as signed integers, not empty."""
+    known = np.sort(known.view(np.uint64))
+    return known[np.minimum(np.searchsorted(known, values), len(known) - 1)] == values
+
+
 def _hash_rows(docs: list, hashes: list[np.ndarray]) -> pa.RecordBatch:
     doc = np.repeat(np.array(docs, np.int64), [len(h) for h in hashes])
     flat = np.concatenate(hashes) if hashes else np.empty(0, np.uint64)
@@ -84,10 +90,10 @@ def _short_runs(texts: DataFrame, window: int) -> DataFrame:
         for batch in rows_of(batches):
             docs, found = [], []
             for doc, raw in zip(batch.column(0).to_pylist(), as_bytes(batch.column(1)), strict=True):
-                words = raw.split() if raw else []
+                words = windows.hashes.of(raw)
                 if doc is not None and len(words) >= window:
                     docs.append(doc)
-                    found.append(_distinct(windows.runs(windows.hashes.of(words))))
+                    found.append(_distinct(windows.runs(words)))
             yield _hash_rows(docs, found)
 
     return texts.mapInArrow(run, _ROWS)
@@ -101,8 +107,8 @@ def _longer(texts: DataFrame, repeated: DataFrame, window: int) -> DataFrame:
         for batch in rows_of(batches):
             docs, found = batch.column(0).to_pylist(), []
             for raw, known in zip(as_bytes(batch.column(1)), batch.column(2), strict=True):
-                whole, runs = windows.of(raw.split() if raw else [])
-                found.append(_distinct(whole[np.isin(runs, known.values.to_numpy().view(np.uint64))]))
+                words = windows.hashes.of(raw)
+                found.append(_distinct(windows.of(words)[_among(windows.runs(words), known.values.to_numpy())]))
             yield _hash_rows(docs, found)
 
     return texts.join(repeated, "doc_id").select("doc_id", "text", "hashes").mapInArrow(run, _ROWS)
@@ -126,7 +132,7 @@ def repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
 
 def _covered(windows: np.ndarray, known: np.ndarray, n_words: int, window: int) -> np.ndarray:
     """Whether each word is covered by one of the known windows."""
-    starts = np.flatnonzero(np.isin(windows, known))
+    starts = np.flatnonzero(_among(windows, known))
     steps = np.zeros(n_words + 1, np.int32)
     np.add.at(steps, starts, 1)
     np.add.at(steps, starts + window, -1)
@@ -146,7 +152,7 @@ def without_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
                 n_words.append(len(words))
                 n_removed.append(0)
                 if known.is_valid:
-                    covered = _covered(windows.of(words)[0], known.values.to_numpy().view(np.uint64), len(words), window)
+                    covered = _covered(windows.of(windows.hashes.of(raw)), known.values.to_numpy(), len(words), window)
                     words = [w for w, c in zip(words, covered.tolist(), strict=True) if not c]
                     n_removed[-1] = n_words[-1] - len(words)
                 digests.append(hashlib.sha256(b" ".join(words)).hexdigest())
@@ -165,7 +171,7 @@ def deduplicated(docs: DataFrame, window: int = WINDOW) -> DataFrame:
         for raw, known in zip(as_bytes(text), hashes, strict=True):
             words = raw.split() if raw else []
             if known.is_valid and len(words) >= window:
-                covered = _covered(windows.of(words)[0], known.values.to_numpy().view(np.uint64), len(words), window)
+                covered = _covered(windows.of(windows.hashes.of(raw)), known.values.to_numpy(), len(words), window)
                 raw = b" ".join(w for w, c in zip(words, covered.tolist(), strict=True) if not c)
             out.append(None if raw is None else raw.decode())
         return pa.array(out, pa.string())
