@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import gc
 import shutil
 import tempfile
 import uuid
@@ -35,18 +36,19 @@ def shared_dir(spark: SparkSession) -> str:
     return f"file://{_own_dir}"
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """df, written as a Parquet table to the shared folder and read again: it cuts the lineage and survives lost executors."""
+def stored(df: DataFrame, name: str, release: bool = False) -> DataFrame:
+    """df, written as a Parquet table to the shared folder and read again: it cuts the lineage and survives lost executors.
+
+    release: asks the driver's JVM to collect garbage, on which Spark deletes the shuffle files that the table stands for."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/millrace-{name}-{uuid.uuid4().hex}"
-    clean = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-    before = spark.conf.get(clean, None)
-    spark.conf.set(clean, "true")  # the table stands for what it was made from
-    try:
-        df.write.parquet(path)
-    finally:
-        spark.conf.unset(clean) if before is None else spark.conf.set(clean, before)
-    return spark.read.schema(df.schema).parquet(path)
+    df.write.parquet(path)
+    schema = df.schema
+    if release:
+        del df
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+    return spark.read.schema(schema).parquet(path)
 
 
 def shuffle_partitions(spark: SparkSession) -> int:

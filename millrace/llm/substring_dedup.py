@@ -124,10 +124,10 @@ def repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     runs = _short_runs(texts, window)
     shared = runs.groupBy("hash").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high").select("hash")
-    repeated = stored(_by_document(runs.join(shared, "hash")), "runs")
+    repeated = stored(_by_document(runs.join(shared, "hash")), "runs", release=True)
     longer = _longer(texts, repeated, window)
     low = longer.groupBy("hash").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high").select("hash", "low")
-    return stored(_by_document(longer.join(low, "hash").where("low < doc_id").select("hash", "doc_id")), "windows")
+    return stored(_by_document(longer.join(low, "hash").where("low < doc_id").select("hash", "doc_id")), "windows", release=True)
 
 
 def _covered(windows: np.ndarray, known: np.ndarray, n_words: int, window: int) -> np.ndarray:
