@@ -6,6 +6,7 @@ import atexit
 import gc
 import shutil
 import tempfile
+import time
 import uuid
 from collections.abc import Iterator
 
@@ -43,12 +44,14 @@ def stored(df: DataFrame, name: str, release: bool = False) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/millrace-{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    schema = df.schema
+    out = spark.read.schema(df.schema).parquet(path)
     if release:
         del df
-        gc.collect()
-        spark.sparkContext._jvm.System.gc()
-    return spark.read.schema(schema).parquet(path)
+        for wait in (0.0, 0.5):  # Spark's listeners may hold the plan for a moment
+            time.sleep(wait)
+            gc.collect()
+            spark.sparkContext._jvm.System.gc()
+    return out
 
 
 def shuffle_partitions(spark: SparkSession) -> int:
