@@ -7,6 +7,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from millrace.llm import byte_bpe, components, decontamination, line_dedup, near_duplicates, nearest, quality, queries, sharding, substring_dedup, token_counts, url_filters
 from millrace.llm.common import SplitHashes, window_hashes
@@ -143,9 +144,38 @@ def test_decontamination(spark, docs, texts):
     assert decontamination.without_spans("A b, c! d", [1, 3]) == "A ! d"
 
 
+def test_lines_across_components(spark):
+    """All meet in one band whose smallest and largest lines are like no other: the pairs between components are found in blocks."""
+    draw = random.Random(5)
+    sets = {}
+    for group in range(12):
+        base = draw.sample(range(group * 1000, group * 1000 + 1000), 20)
+        for copy in range(5 if group else 90):
+            sets[bytes([1, group, copy])] = [*base[: 20 - copy % 3], *range(10**6 + copy * 5, 10**6 + copy * 5 + copy % 3)]
+    sets[bytes([0])], sets[bytes([2])] = [-1], [-2]
+    low, high = min(sets), max(sets)
+    members = spark.createDataFrame([(k, v, [(7, low, high)]) for k, v in sets.items()], "id binary, s array<long>, meets array<struct<band: long, low: binary, high: binary>>")
+    assert line_dedup._stars(members, 80).isEmpty()
+    same = {(a, b) for a, b in itertools.combinations(sorted(sets), 2) if 100 * len({*sets[a]} & {*sets[b]}) >= 80 * len({*sets[a]} | {*sets[b]})}
+    # some are joined already: their pairs aren't asked for
+    root = {bytes([1, 0, c]): bytes([1, 0, 0]) for c in range(1, 60)}
+    roots = spark.createDataFrame(list(root.items()), "node binary, root binary")
+    for known, at in ((roots.limit(0), {}), (roots, root)):
+        want = {p for p in same if at.get(p[0], p[0]) != at.get(p[1], p[1])}
+        found = [(bytes(r["a"]), bytes(r["b"])) for r in line_dedup._across(members, known, 80).collect()]
+        assert len(found) == len({*found}) and {(min(p), max(p)) for p in found} == want
+
+
+def test_shingles_of_wide_scripts(spark):
+    rows = [("日本語 abc",), ("plain words – here",), ("plain words here",), (" ไทย x",)]
+    got = spark.createDataFrame(rows, "line string").select("line", line_dedup.shingles(F.col("line")).alias("s")).collect()
+    assert all({*r["s"]} == line_set(r["line"]) for r in got)
+
+
 def line_set(line):
     low = line.lower()
-    return {low[i : i + 12] for i in range(len(low)) if not low[i].isspace() and (i == 0 or low[i - 1].isspace())}
+    wide = [any(a <= c <= b for a, b in ("\u0e00\u0e7f", "\u3040\u30ff", "\u4e00\u9fff")) for c in low]
+    return {low[i : i + 12] for i in range(len(low)) if not low[i].isspace() and (i == 0 or low[i - 1].isspace() or wide[i])}
 
 
 def test_line_dedup(spark):
