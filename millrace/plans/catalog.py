@@ -218,10 +218,32 @@ def decoded_bytes(spark, sf_dir):
     return rows.select("id", raw.decoded(F.col("content")).alias("text"))
 
 
-@_query("select page_id, 0 as n_rows from pages where not contains(html, '<tr')")
+@_query("select page_id, cast(len(regexp_extract_all(html, '(?is)<tr[^>]*>(.*?)</tr>')) as integer) as n_rows from pages")
 def table_rows(spark, sf_dir):
-    cells = raw.table_cells(F.col("html"))
-    return _table(spark, sf_dir, "pages").where(~F.contains("html", F.lit("<tr"))).select("page_id", F.size(cells).alias("n_rows"))
+    return _table(spark, sf_dir, "pages").select("page_id", F.size(raw.table_cells(F.col("html"))).alias("n_rows"))
+
+
+_TABLES = [(1, "<table><TR><th>Day</th><td class='d'> <b>11/8</b>,15 </td></TR><tr>\n<td>PDF</td></tr></table>"), (2, "<p>none</p>"), (3, None)]
+
+
+@_query("select * from (values (1, 'Day|11/8,15 PDF'), (2, ''), (3, null)) t(id, cells)")
+def hand_made_tables(spark, sf_dir):
+    rows = raw.table_cells(F.col("html"))
+    return spark.createDataFrame(_TABLES, "id int, html string").select("id", F.array_join(F.transform(rows, lambda r: F.array_join(r, "|")), " ").alias("cells"))
+
+
+_RESERVES = [(1, 2026, "11/8,15", "11/22", "2026-11-08"), (2, 2026, "1/24", "2/30", "2026-01-24"), (3, 2026, None, "3/14", None)]
+
+
+@_query("""
+select * from (values (1, '2026-11-08 2026-11-15', '2026-11-22', true), (2, '2027-01-24', '', false), (3, '', '2027-03-14', null)) t(id, event_days, reserve_days, year_fits)
+""")
+def reserve_days(spark, sf_dir):
+    """Reserve days stay apart from event days, and a stated year is held against the fiscal year."""
+    rows = spark.createDataFrame(_RESERVES, "id int, fiscal int, days string, reserve string, stated string")
+    text = lambda c: F.array_join(F.transform(dates.days_in(F.col(c), F.col("fiscal")), lambda d: d.cast("string")), " ")
+    fits = dates.explicit_year_fits(F.try_to_date("stated"), F.col("fiscal"))
+    return rows.select("id", F.coalesce(text("days"), F.lit("")).alias("event_days"), text("reserve").alias("reserve_days"), fits.alias("year_fits"))
 
 
 @_query("select event_type, count(*) as n from events where ts < timestamp '2024-01-16' group by 1")
