@@ -17,6 +17,8 @@ host; no rules: all get the default; every row of pages gives one row, repeated
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -24,7 +26,9 @@ from pyspark.sql.window import Window
 #: Parts host and path of a canonical key.
 MARK = "\x00"
 #: How many points, of the smallest hashes, set the limits of ranges; it bounds what reaches the driver.
-SAMPLE = 4096
+SAMPLE = 16384
+#: Ranges at most; below that there are as many as shuffle partitions.
+RANGES = 2048
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -56,10 +60,14 @@ def rule_stacks(rules: DataFrame) -> DataFrame:
 
 
 def _below(limits: list[str], key: Column, equal: bool) -> Column:
+    """How many of the sorted limits are below the key, or equal to it: whole strides of them first, then within one."""
     if not limits:
         return F.lit(0)
-    all_limits = F.array(*map(F.lit, limits))
-    return F.size(F.filter(all_limits, (lambda x: x <= key) if equal else (lambda x: x < key)))
+    below = (lambda x: x <= key) if equal else (lambda x: x < key)
+    stride = math.isqrt(len(limits) - 1) + 1
+    strides = F.size(F.filter(F.array(*map(F.lit, limits[stride - 1 :: stride])), below)) * stride
+    rest = F.slice(F.array(*map(F.lit, limits)), strides + 1, stride)
+    return strides + F.size(F.filter(rest, below))
 
 
 def sweep(points: DataFrame, stacks: DataFrame, limits: list[str]) -> DataFrame:
@@ -91,7 +99,7 @@ def judge_urls(pages: DataFrame, rules: DataFrame, id_col: str = "page_id", url_
     urls = judged.where("host <> ''").select("host", "path").distinct()
     tails = F.transform(F.sequence(F.lit(1), F.least(F.size(labels), F.lit(deepest))), lambda n: _key(F.slice(labels, F.size(labels) - n + 1, n), F.col("path")))
     points = urls.select("host", "path", F.explode(tails).alias("key")).withColumn("spread", F.xxhash64("host", "path"))
-    n = ranges or min(256, max(1, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    n = ranges or min(RANGES, max(1, int(spark.conf.get("spark.sql.shuffle.partitions"))))
     sample = sorted(r[0] for r in points.select("key", "spread").orderBy("spread", "key").limit(SAMPLE).select("key").collect())
     limits = [sample[i * len(sample) // n] for i in range(1, n)] if len(sample) >= n else []
     best = sweep(points, rule_stacks(rules), limits).groupBy("host", "path").agg(F.max("best").alias("best"))
