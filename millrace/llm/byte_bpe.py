@@ -7,7 +7,7 @@ splitter. Decoding looks every id up in the byte table and joins the bytes; char
 together again since only the joined bytes are read as UTF-8 (`decode` replaces what is broken at a cut).
 
 Defined results: a null or empty text has no ids, its decoded bytes are empty. Extra columns are ignored by
-`encode_digests` and kept by nobody; rows are never dropped, repeated rows give repeated results.
+`encode_digests`, kept by `encode` and `decode`; rows are never dropped, repeated rows give repeated results.
 """
 
 from __future__ import annotations

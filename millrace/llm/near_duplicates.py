@@ -7,8 +7,9 @@ probability (1 - (1 - s^rows)^side)^2, at 0.8 and the values below 0.9985.
 
 Documents with equal sets become one node first. In a table's group of two the pair is the candidate; in a larger group all
 are held against its smallest node. Links are confirmed on the full sets and joined by union-find. Then components that meet
-in a table, yet aren't joined, are held against each other in blocks, every node of the smaller one with the members of the larger one. So each pair that meets in a table is checked unless it
-is in one component already, and a group of copies never makes all its pairs.
+in a table, yet aren't joined, are held against each other in blocks, every node of the smaller one with the members of the
+larger one. So each pair that meets in a table is checked unless it is in one component already, and a group of copies never
+makes all its pairs.
 
 Defined results: a null or empty text, or one without words, has an empty set, is linked with nothing and kept; fewer words
 than a shingle make one shingle of them all; rows of one doc_id are one document; a row with a null doc_id is linked with

@@ -166,6 +166,22 @@ def test_lines_across_components(spark):
         assert len(found) == len({*found}) and {(min(p), max(p)) for p in found} == want
 
 
+def test_flags_rule_out_no_similar_sets(spark):
+    draw = random.Random(6)
+    hashes = [draw.getrandbits(64) - (1 << 63) for _ in range(60)]
+    rows = []
+    for _ in range(500):
+        x = draw.sample(hashes, draw.randrange(1, 30))
+        rows.append((x, list({draw.choice(hashes) if draw.random() < 0.15 else h for h in x})))
+    flagged = [F.struct(F.col(c).alias("s"), line_dedup._bits(F.col(c)).alias("bits")).alias(c) for c in "xy"]
+    both = spark.createDataFrame([*rows, (hashes[:9], hashes[20:29])], "x array<long>, y array<long>").select(*flagged)
+    x, y = F.col("x"), F.col("y")
+    got = both.select("x", line_dedup._possible(x, y, 80).alias("a"), line_dedup._possible(y, x, 80).alias("b"), line_dedup._similar(x["s"], y["s"], 80).alias("same")).collect()
+    assert all(r["x"]["bits"] % 2**64 == sum({1 << h % 64 for h in r["x"]["s"]}) for r in got)
+    assert sum(r["same"] for r in got) > 50 and all(r["a"] and r["b"] for r in got if r["same"])
+    assert not all(r["a"] and r["b"] for r in got)
+
+
 def test_shingles_of_wide_scripts(spark):
     rows = [("日本語 abc",), ("plain words – here",), ("plain words here",), (" ไทย x",)]
     got = spark.createDataFrame(rows, "line string").select("line", line_dedup.shingles(F.col("line")).alias("s")).collect()
