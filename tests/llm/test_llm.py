@@ -213,6 +213,34 @@ def test_line_dedup(spark):
     assert all(counts[i]["kept_sha256"] == (None if t is None else hashlib.sha256(t.encode()).hexdigest()) for i, t in want)
 
 
+def every_set(line):
+    low, n = line.lower(), line_dedup.SHINGLE
+    return {low[i : i + n] for i in range(max(1, len(low) - n + 1))}
+
+
+def kept_lines(lines):
+    """Brute force: what is left of lines in order, one of each component of those of similarity 0.8."""
+    sets = [every_set(x) for x in lines]
+    root = roots(range(len(lines)), [(a, b) for a, b in itertools.combinations(range(len(lines)), 2) if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])])
+    return [x for k, x in enumerate(lines) if root[k] == k]
+
+
+def left_of(spark, lines):
+    docs = spark.createDataFrame([(i, x) for i, x in enumerate(lines)], "doc_id long, text string")
+    return [r["text"] for r in line_dedup.deduplicated(docs).orderBy("doc_id").collect() if r["text"]]
+
+
+def test_lines_are_judged_by_every_position(spark):
+    urls = ["https://www.example.com/reports/2019", "https://www.example.org/about", "https://www.example.com/" + "a1b2" * 30, "https://www.example.com/" + "c3d4" * 30]
+    lines = [*urls, "order-number-0001 confirmed", "order-number-7392 rejected", "/usr/share/doc/first", "/usr/share/doc/another/file", "x", "y", "xy"]
+    assert kept_lines(lines) == lines == left_of(spark, lines)
+    long = "".join(draw.choice("abcdefgh") for _ in range(400))
+    lines += [long, long[:300] + "#" + long[300:], long[::-1], "#" + long, "😀" * 3 + "é" + long[50:]]
+    assert kept_lines(lines) == left_of(spark, lines) != lines
+    got = spark.createDataFrame([(x,) for x in lines], "line string").select("line", line_dedup.character_shingles(F.col("line")).alias("s")).collect()
+    assert all({*r["s"]} == every_set(r["line"]) for r in got)
+
+
 def test_byte_bpe_and_token_counts(docs, texts):
     import tiktoken
     from tokenizers import Tokenizer
