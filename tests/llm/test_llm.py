@@ -241,6 +241,19 @@ def test_lines_are_judged_by_every_position(spark):
     assert all({*r["s"]} == every_set(r["line"]) for r in got)
 
 
+#: Han of the basic block and of extensions A and B, and letters of scripts that are written without spaces.
+SCRIPTS = {"Thai": 0x0E01, "Lao": 0x0E94, "Tibetan": 0x0F49, "Burmese": 0x1000, "Khmer": 0x1780, "kana": 0x3042, "half-width kana": 0xFF71, "Han": 0x4E00, "Han A": 0x3400, "Han B": 0x20000}
+
+
+def test_lines_of_scripts_without_spaces(spark):
+    own, lines = random.Random(8), []
+    for first in SCRIPTS.values():
+        country, one, two = ("".join(chr(first + own.randrange(16)) for _ in range(n)) for n in (12, 80, 80))
+        lines += [country + one, country + two, chr(first) + one + two, chr(first + 1) + one + two]
+    want = [x for k, x in enumerate(lines) if k % 4 < 3]  # two sentences that begin alike stay, a near copy that begins otherwise goes
+    assert kept_lines(lines) == want == left_of(spark, lines)
+
+
 def test_byte_bpe_and_token_counts(docs, texts):
     import tiktoken
     from tokenizers import Tokenizer
