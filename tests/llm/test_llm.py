@@ -254,6 +254,17 @@ def test_lines_of_scripts_without_spaces(spark):
     assert kept_lines(lines) == want == left_of(spark, lines)
 
 
+def test_one_letter_variants_are_linked(spark):
+    own, lines = random.Random(9), []
+    for n in (10, 15, 19, 25):
+        for _ in range(50):
+            line = " ".join("".join(own.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(own.randrange(3, 9))) for _ in range(n))
+            at = own.randrange(len(line))
+            lines += [line, line[:at] + "#" + line[at + 1 :]]
+    assert len(kept_lines(lines)) <= 201  # nearly all of the 200 pairs have similarity 0.8
+    assert len(left_of(spark, lines)) <= 204
+
+
 def test_byte_bpe_and_token_counts(docs, texts):
     import tiktoken
     from tokenizers import Tokenizer
