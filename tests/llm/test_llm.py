@@ -265,6 +265,13 @@ def test_one_letter_variants_are_linked(spark):
     assert len(left_of(spark, lines)) <= 204
 
 
+def test_rows_of_one_doc_id_keep_their_own_lines(spark):
+    docs = spark.createDataFrame([(1, "a copy of both\nleft alone"), (2, "a copy of both\nfirst text"), (2, "unique here\nsecond text"), (2, "unique here\nsecond text")], "doc_id long, text string")
+    got = sorted((r["doc_id"], r["text"]) for r in line_dedup.deduplicated(docs).collect())
+    assert got == [(1, "a copy of both\nleft alone"), (2, "first text"), (2, "unique here\nsecond text"), (2, "unique here\nsecond text")]
+    assert sorted(r["n_removed"] for r in line_dedup.line_counts(docs).collect()) == [0, 0, 0, 1]
+
+
 def test_byte_bpe_and_token_counts(docs, texts):
     import tiktoken
     from tokenizers import Tokenizer
