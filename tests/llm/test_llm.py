@@ -418,6 +418,38 @@ def test_pipeline(spark):
     assert all(out[i]["decoded_sha256"] == hashlib.sha256(t.encode()).hexdigest() for i, t in left.items())
 
 
+def test_pipeline_stages_against_brute_force(spark, tmp_path):
+    """Planted copies of lines, near duplicates and benchmark passages, decided again in plain Python."""
+    import corpus_pipeline
+
+    own = random.Random(11)
+    some = lambda n: ["".join(own.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(7)) for _ in range(n)]
+    plain, passage = [some(120) for _ in range(4)], some(40)
+    near = [*plain[0][:-1], "changed"]
+    lines = [" ".join(some(15)) for _ in range(3)]
+    made = [*(" ".join(w) for w in plain), " ".join(near), " ".join([*some(60), *passage]), " ".join([*some(900), *passage[:14]]), "\n".join(lines), lines[0] + "\n" + lines[1][:-1] + "#", "https://www.example.com/reports\nhttps://www.example.org/about"]
+    texts = list(enumerate(made))
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    spark.createDataFrame([(1, " ".join(passage))], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+
+    def stage(name, rows):
+        out = dict(corpus_pipeline.STAGES)[name](spark, spark.createDataFrame(rows, docs.schema), str(tmp_path))
+        return sorted((r["doc_id"], r["text"]) for r in out.collect())
+
+    flat = [(i, x) for i, t in texts for x in t.split("\n")]
+    kept = {id(x) for x in kept_lines([x for _, x in flat])}
+    want = [(i, "\n".join(x for j, x in flat if j == i and id(x) in kept)) for i, _ in texts]
+    assert stage("line dedup", texts) == want != texts
+    s = sets(texts, 5)
+    root = roots(s, [(a, b) for a, b in itertools.combinations(s, 2) if s[a] and 100 * len(s[a] & s[b]) >= 80 * len(s[a] | s[b])])
+    want = [(i, t) for i, t in texts if root[i] == i]
+    assert stage("MinHash near-dedup", texts) == want != texts
+    windows = {tuple(passage[j : j + 13]) for j in range(len(passage) - 12)}
+    hits = {i: {k for j in range(len(t.split())) if tuple(t.split()[j : j + 13]) in windows for k in range(j, j + 13)} for i, t in texts}
+    want = [(i, t) for i, t in texts if not hits[i] or 20 * len(hits[i]) < len(t.split())]
+    assert stage("benchmark decontamination", texts) == want != texts and any(hits[i] for i, _ in want)
+
+
 def test_registered_sql(spark):
     import os
 
