@@ -41,6 +41,14 @@ def checked_deadline(day: Column, stated_weekday: Column) -> Column:
     return F.when(stated_weekday.isNull() | (F.weekday(day) == stated_weekday), day)
 
 
+def noted_deadline(day: Column, stated_weekday: Column, raw: Column, notes: Column) -> Column:
+    """The checked deadline, the raw text as it is, and the notes, with one more where the stated weekday contradicts the date."""
+    wrong = F.coalesce(F.weekday(day) != stated_weekday, F.lit(False))
+    notes = F.coalesce(notes, F.array().cast("array<string>"))
+    noted = F.when(wrong, F.array_append(notes, F.lit("stated weekday contradicts the date"))).otherwise(notes)
+    return F.struct(checked_deadline(day, stated_weekday).alias("deadline"), raw.alias("raw"), noted.alias("notes"))
+
+
 def typed_entry(label: Column, at: Column) -> Column:
     """A time by its label: entry_start for an opening, deadline for a close; nothing is guessed."""
     opening, closing = F.contains(label, F.lit("開始")), F.contains(label, F.lit("締切"))

@@ -33,6 +33,12 @@ def links_in(html: Column) -> Column:
     return F.regexp_extract_all(html, F.lit('href="([^"]*)"'), F.lit(1))
 
 
+def is_entry_link(label: Column, link: Column) -> Column:
+    """Whether a link with that label leads to an entry: entry lists, results and practice sessions don't, nor does a missing link."""
+    other = F.lower(F.coalesce(label, F.lit(""))).rlike(r"エントリー\s*リスト|結果|練習会|entry\s*list|results?\b")
+    return F.coalesce(F.trim(link) != "", F.lit(False)) & ~other
+
+
 def route(method: Column, url: Column, mode: Column, origin: str, data_url: str, shell: Iterable[str]) -> Column:
     """What handles a request: the first of the rules that fits, in this order."""
     return (

@@ -30,6 +30,20 @@ def test_weekday_contradiction_leaves_the_deadline_unset(spark):
     assert [r[0] is None for r in rows.select(dates.checked_deadline(F.col("d"), F.col("w"))).collect()] == [False, True, False]
 
 
+def test_weekday_contradiction_keeps_the_raw_text_and_a_note(spark):
+    day = datetime.date(2026, 10, 12)
+    rows = spark.createDataFrame([(day, 0, "10/12(月)", ["a"]), (day, 2, "10/12(水)", ["a"]), (day, 2, "10/12(水)", None), (day, None, "10/12", None)], "d date, w int, t string, n array<string>")
+    got = one(rows.select(dates.noted_deadline(F.col("d"), F.col("w"), F.col("t"), F.col("n")).alias("x")).select("x.*"))
+    note = "stated weekday contradicts the date"
+    assert got == [(day, "10/12(月)", ["a"]), (None, "10/12(水)", ["a", note]), (None, "10/12(水)", [note]), (day, "10/12", [])]
+
+
+def test_entry_lists_and_results_are_no_entry_links(spark):
+    rows = [("申込", "a", True), ("エントリーリスト", "b", False), ("結果報告", "c", False), ("練習会", "d", False), ("Entry list", "e", False), ("PDF", None, False), ("PDF", " ", False), (None, "f", True)]
+    got = spark.createDataFrame(rows, "label string, link string, want boolean").select(urls.is_entry_link(F.col("label"), F.col("link")), "want").collect()
+    assert all(r[0] == r[1] for r in got)
+
+
 def test_versions(spark):
     names = spark.createDataFrame([("v0.8.9",), ("v0.8.14",), ("other-1",)], "n string")
     assert snapshots.latest(names, "n", "v").first()[0] == "v0.8.14"
