@@ -4,8 +4,8 @@ A bounded sample fits coarse centres and, on the residuals, sixteen centres for
 centres moved under the anisotropic loss: the part of the error along the vector, which changes large inner products, counts
 `eta` times the part across it. Every distinct vector is indexed: its cell and four-bit codes. A query looks into the cells
 whose centres have the largest inner products with it, scans their codes by table look-up, and re-ranks the best exactly in
-double precision. Cells and their queries are packed in blocks of bounded size that are joined by cell, so that a hot cell is
-many blocks. Equal vectors are one entry with their smallest ids, as many as a result can show.
+double precision. Cells and their queries are packed in blocks of bounded size; each block of vectors is a key of its own in
+their join, so that a hot cell is many tasks. Equal vectors are one entry with their smallest ids, as many as a result can show.
 
 Defined results: vectors that are null, empty, zero, or hold null or non-finite components take no part, neither do those
 whose length isn't the most frequent one (the smaller of two as frequent) or whose id is null; a repeated id is listed once
@@ -28,6 +28,8 @@ from .common import stored
 SAMPLE = 16_384
 #: Rows of a block of vectors, and of queries.
 ROWS, QUERIES = 4096, 256
+#: Vectors of a block that are re-ranked at least.
+LEAST = 160
 
 
 def _clusters(x: np.ndarray, k: int, rounds: int = 12, seed: int = 7) -> np.ndarray:
@@ -125,15 +127,21 @@ def vectors(embeddings: DataFrame, id_col: str = "vec_id", column: str = "embedd
     return rows.where(F.size("v") == (length[0]["n"] if length else 0))
 
 
-def _blocks(rows: DataFrame, most: int, entry: list[str], name: str) -> DataFrame:
-    """rows with a cell, packed to blocks of about `most` rows."""
-    parts = rows.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / most).alias("parts"))
+def _parts(rows: DataFrame, most: int) -> DataFrame:
+    """(cell, parts): the blocks of about `most` rows that each cell makes."""
+    return rows.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / most).alias("parts"))
+
+
+def _blocks(rows: DataFrame, parts: DataFrame, entry: list[str], name: str) -> DataFrame:
+    """(cell, part, name): rows with a cell, packed to blocks."""
     dealt = rows.join(parts, "cell").withColumn("part", F.pmod(F.xxhash64(entry[0]), "parts"))
-    return dealt.groupBy("cell", "part").agg(F.collect_list(F.struct(*entry)).alias(name)).drop("part")
+    return dealt.groupBy("cell", "part").agg(F.collect_list(F.struct(*entry)).alias(name))
+
 
+def nearest(embeddings: DataFrame, every: int = 20, k: int = 20, probes: float = 0.9, scanned: float = 0.2, per_cell: int = 2000, most_cells: int = 256) -> DataFrame:
+    """(query_id, rank, vec_id, score): the k nearest found of each row whose id is divisible by `every`, itself left out.
 
-def nearest(embeddings: DataFrame, every: int = 20, k: int = 20, probes: float = 0.9, scanned: int = 160, per_cell: int = 2000, most_cells: int = 256) -> DataFrame:
-    """(query_id, rank, vec_id, score): the k nearest found of each row whose id is divisible by `every`, itself left out."""
+    probes: share of the cells that a query looks into; scanned: share of a block that is re-ranked exactly, LEAST vectors at least."""
     spark = embeddings.sparkSession
     rows = vectors(embeddings)
     smallest = F.row_number().over(Window.partitionBy("v").orderBy("vec_id"))
@@ -182,7 +190,7 @@ def nearest(embeddings: DataFrame, every: int = 20, k: int = 20, probes: float =
                 rough = np.zeros((len(q), len(x)), np.float32)
                 for g in range(made.groups):
                     rough += tables[:, g].astype(np.float32)[:, codes[:, g]]
-                most = min(scanned, len(x))
+                most = min(len(x), max(LEAST, k, int(np.ceil(scanned * len(x)))))
                 best = np.argpartition(-rough, most - 1, axis=1)[:, :most] if most < len(x) else np.tile(np.arange(len(x)), (len(q), 1))
                 for j, me in enumerate(asking):
                     exact = (x[best[j]] * q[j]).sum(1)
@@ -192,14 +200,17 @@ def nearest(embeddings: DataFrame, every: int = 20, k: int = 20, probes: float =
                             break
                         found += [(float(exact[o]), v) for v in ids[best[j, o]] if v != me]
                     found = sorted(found, key=lambda e: (-e[0], e[1]))[:k]
-                    ids_out.append(me)
-                    found_out.append([v for _, v in found])
-                    score_out.append([s for s, _ in found])
-            yield pa.record_batch({"query_id": pa.array(ids_out, pa.int64()), "vec": pa.array(found_out, pa.list_(pa.int64())), "score": pa.array(score_out, pa.list_(pa.float64()))})
-
-    blocks = _blocks(indexed, ROWS, ["h", "v", "ids", "codes"], "x").join(_blocks(asked, QUERIES, ["query_id", "v"], "q"), "cell")
-    parts = blocks.select("cell", "x", "q").mapInArrow(scan, "query_id long, vec array<long>, score array<double>")
-    pair = F.arrays_zip(F.transform("score", lambda s: -s).alias("s"), F.col("vec").alias("v"))
-    merged = parts.select("query_id", pair.alias("p")).groupBy("query_id").agg(F.slice(F.array_sort(F.flatten(F.collect_list("p"))), 1, k).alias("p"))
-    flat = merged.select("query_id", F.posexplode("p").alias("i", "e"))
-    return flat.select("query_id", (F.col("i") + 1).alias("rank"), F.col("e.v").alias("vec_id"), (-F.col("e.s")).alias("score"))
+                    ids_out += [me] * len(found)
+                    found_out += [v for _, v in found]
+                    score_out += [s for s, _ in found]
+            yield pa.record_batch({"query_id": pa.array(ids_out, pa.int64()), "vec_id": pa.array(found_out, pa.int64()), "score": pa.array(score_out, pa.float64())})
+
+    # a cell's blocks of vectors lie apart, and its queries go to each of them
+    parts = _parts(indexed, ROWS)
+    there = _blocks(asked, _parts(asked, QUERIES), ["query_id", "v"], "q").select("cell", "q").join(parts, "cell")
+    there = there.select("cell", "q", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"))
+    found = _blocks(indexed, parts, ["h", "v", "ids", "codes"], "x").join(there, ["cell", "part"]).select("cell", "x", "q")
+    found = found.mapInArrow(scan, "query_id long, vec_id long, score double")
+    # the best of each task are found before anything is shuffled
+    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
+    return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
