@@ -31,6 +31,10 @@ PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 PLAIN = r"[^\t\n\r\x20-\x7e -ɏ]"
 
 
+#: Characters of a piece that is remembered at most: longer ones hardly come again.
+LONGEST = 64
+
+
 def byte_characters() -> list[str]:
     """The printable character that stands for each byte in byte-level vocabularies."""
     shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
@@ -65,13 +69,15 @@ def tokenizer_json(ranks: dict[bytes, int]) -> str:
 
 def ids_apart(library, pieces: list[str]) -> list[np.ndarray]:
     """The ids of each piece, encoded alone, with one call of the library."""
+    if not pieces:
+        return []
     got = library.encode(pieces, is_pretokenized=True, add_special_tokens=False)
     ends = np.searchsorted(np.array(got.word_ids, np.int64), np.arange(1, len(pieces)))
     return np.split(np.array(got.ids, "<u4"), ends)
 
 
 class ByteBpe:
-    """Encodes and decodes; remembers pieces, at most `most` of them."""
+    """Encodes and decodes; remembers pieces of LONGEST characters at most, and at most `most` of them."""
 
     def __init__(self, ranks: dict[bytes, int], spec: str | None = None, most: int = 500_000):
         from tokenizers import Tokenizer
@@ -85,13 +91,15 @@ class ByteBpe:
         self.known: dict[str, bytes] = {}
         self.most = most
 
-    def _learn(self, pieces: Iterable[str]) -> None:
+    def _learned(self, pieces: Iterable[str]) -> dict[str, bytes]:
+        """The ids of all these pieces."""
         new = list({p for p in pieces if p not in self.known})
+        found = dict(zip(new, (ids.tobytes() for ids in ids_apart(self.library, new)), strict=True))
+        found |= {p: self.known[p] for p in pieces if p in self.known}
         if len(self.known) + len(new) > self.most:
             self.known.clear()
-            new = list(set(pieces))
-        for piece, ids in zip(new, ids_apart(self.library, new), strict=True):
-            self.known[piece] = ids.tobytes()
+        self.known |= {p: found[p] for p in new[: self.most] if len(p) <= LONGEST}
+        return found
 
     def encode(self, text: str | None) -> bytes:
         """The ids as little-endian unsigned 32-bit integers."""
@@ -103,8 +111,7 @@ class ByteBpe:
         try:
             return b"".join(map(self.known.__getitem__, pieces))
         except KeyError:
-            self._learn(pieces)
-            return b"".join(map(self.known.__getitem__, pieces))
+            return b"".join(map(self._learned(pieces).__getitem__, pieces))
 
     def decode_bytes(self, ids: bytes) -> bytes:
         return b"".join(map(self.table.__getitem__, np.frombuffer(ids, "<u4").tolist()))

@@ -3,7 +3,8 @@
 Offline, on the driver, every vocabulary string that can be a pre-token is encoded alone; those that give exactly one
 token are proven whole. Counting splits a text into pre-tokens as the tokenizer does; pre-tokens that are proven whole
 count one without merging, the library merges the rest, each distinct one once while it is remembered. Texts with
-characters on which splitters or case rules may differ, or with something like a special string, go to the library.
+characters on which splitters or case rules may differ, or with something like a special string, go to the library. So do
+all texts if the tokenizer's normaliser or splitter isn't the one whose rules are known here.
 
 Defined results: a null or empty text has 0 tokens and 0 bytes; rows are never dropped; extra columns are ignored.
 """
@@ -19,10 +20,15 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .byte_bpe import PLAIN, byte_characters, ids_apart
+from .byte_bpe import LONGEST, PLAIN, byte_characters, ids_apart
 from .common import rows_of
 
 
+#: Fixed: the normaliser and the splitters whose rules `TokenCounter` follows; the pattern is read from the tokenizer.
+NORMALISER = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]}
+SPLITTERS = [{"type": "Split", "behavior": "Removed", "invert": True}, {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]
+
+
 def proven_whole(spec: str) -> list[str]:
     """The pre-tokens that the tokenizer encodes as one token: a vocabulary string with the word's end, encoded alone."""
     from tokenizers import Tokenizer
@@ -43,36 +49,43 @@ def proven_whole(spec: str) -> list[str]:
 
 
 class TokenCounter:
-    """Counts tokens as the library does; the merged rest is remembered, at most `most` pre-tokens."""
+    """Counts tokens as the library does; the merged rest is remembered, at most `most` pre-tokens of LONGEST characters."""
 
     def __init__(self, spec: str, whole: list[str], most: int = 500_000):
         from tokenizers import Tokenizer
 
-        self.library = Tokenizer.from_str(spec)
-        pattern = next(x["pattern"]["Regex"] for x in json.loads(spec)["pre_tokenizer"]["pretokenizers"] if x["type"] == "Split")
-        self.pieces = regex.compile(pattern).findall
+        self.library, read = Tokenizer.from_str(spec), json.loads(spec)
+        steps = [dict(x) for x in (read.get("pre_tokenizer") or {}).get("pretokenizers", [])]
+        pattern = (steps[0].pop("pattern", None) or {}).get("Regex") if steps else None
+        self.follows = read.get("normalizer") == NORMALISER and steps == SPLITTERS and pattern is not None
+        self.pieces = regex.compile(pattern or "").findall
         self.odd = regex.compile(PLAIN).search
-        self.whole, self.known, self.most = dict.fromkeys(whole, 1), {}, most
+        self.whole, self.most = dict.fromkeys(whole, 1), most
+        self.known = dict(self.whole)
 
     def count(self, text: str | None) -> int:
         if not text:
             return 0
-        if "<|" in text or self.odd(text):
+        if not self.follows or "<|" in text or self.odd(text):
             return len(self.library.encode(text, add_special_tokens=False).ids)
-        text = (text if text.isascii() else unicodedata.normalize("NFC", text)).lower()
-        if self.odd(text):  # lower case may leave the plain range
+        low = (text if text.isascii() else unicodedata.normalize("NFC", text)).lower()
+        if self.odd(low):  # lower case may leave the plain range
             return len(self.library.encode(text, add_special_tokens=False).ids)
-        pieces = self.pieces(text)
-        n = self.known
+        pieces = self.pieces(low)
         try:
-            return sum(map(n.__getitem__, pieces))
+            return sum(map(self.known.__getitem__, pieces))
         except KeyError:
-            new = list({p for p in pieces if p not in n})
-            if not n or len(n) + len(new) > self.most:
-                self.known = n = dict(self.whole)
-                new = list({p for p in pieces if p not in n})
-            n.update(zip(new, map(len, ids_apart(self.library, new)), strict=True))
-            return sum(map(n.__getitem__, pieces))
+            return self._merged(pieces)
+
+    def _merged(self, pieces: list[str]) -> int:
+        """The sum over pieces of which some aren't known: these are merged, and remembered."""
+        new = list({p for p in pieces if p not in self.known})
+        found = dict(zip(new, map(len, ids_apart(self.library, new)), strict=True))
+        n = sum(found[p] if p in found else self.known[p] for p in pieces)
+        if len(self.known) + len(new) > self.most + len(self.whole):
+            self.known = dict(self.whole)
+        self.known |= {p: found[p] for p in new[: self.most] if len(p) <= LONGEST}
+        return n
 
 
 def token_counts(docs: DataFrame, spec: str, limit: int = 2048) -> DataFrame:

@@ -289,6 +289,31 @@ def test_byte_bpe_and_token_counts(docs, texts):
         assert counter.count(text) == len(library.encode(text, add_special_tokens=False).ids)
 
 
+def test_token_counts_of_short_texts():
+    """Each text is the first that a counter meets, or meets a memory that is full."""
+    import json
+
+    import public_tokenizers as P
+    from tokenizers import Tokenizer
+
+    spec = open(P.path("word_bpe_49k.json"), encoding="utf-8").read()
+    library, whole, own = Tokenizer.from_str(spec), token_counts.proven_whole(spec), random.Random(3)
+    texts = ["hello world", "the", "a b c", "", " ", "it's", "x" * 500, "qqzzxj qqzzxj the", *(" ".join(own.choice(["the", "it's", "zqx", "é", "12", "日", "..."]) for _ in range(own.randrange(1, 6))) for _ in range(60))]
+    want = [len(library.encode(x, add_special_tokens=False).ids) for x in texts]
+    assert [token_counts.TokenCounter(spec, whole).count(x) for x in texts[:12]] == want[:12]
+    for most in (0, 1, 3):
+        counter = token_counts.TokenCounter(spec, whole, most)
+        assert [counter.count(x) for x in texts] == want and len(counter.known) <= len(counter.whole) + most
+    other = json.loads(spec)
+    other["normalizer"] = None
+    other = json.dumps(other)
+    counter, library = token_counts.TokenCounter(other, token_counts.proven_whole(other)), Tokenizer.from_str(other)
+    assert [counter.count(x) for x in ("Hello WORLD", "a  B")] == [len(library.encode(x, add_special_tokens=False).ids) for x in ("Hello WORLD", "a  B")]
+    ranks = byte_bpe.read_ranks(P.path("byte_bpe_50k.tiktoken"))
+    plain, small = byte_bpe.ByteBpe(ranks), byte_bpe.ByteBpe(ranks, most=2)
+    assert [small.encode(x) for x in texts] == [plain.encode(x) for x in texts] and len(small.known) <= 2
+
+
 def test_sharding(spark, docs, texts, tmp_path):
     root = f"file://{tmp_path}/maps"
     rows = sharding.shard(docs, 5, slots=64, keep_at=root).collect()
@@ -372,6 +397,24 @@ def test_nearest(spark):
     assert few == {(0, 7), (0, 20), (20, 0), (20, 7)}
 
 
+@pytest.mark.parametrize(("n", "most_cells"), [(500, 256), (2000, 256), (4000, 256), (20000, 256)])
+def test_recall_of_nearest(spark, n, most_cells):
+    """Vectors without clusters, the hardest case: several cells, some of them not probed."""
+    g = np.random.default_rng(n)
+    x = g.normal(size=(n, 64)).astype(np.float32)
+    step = 20 * max(1, n // 2000)
+    rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
+    got = {}
+    for r in nearest.nearest(rows, every=step, per_cell=200, most_cells=most_cells).collect():
+        got.setdefault(r["query_id"], set()).add(r["vec_id"])
+    d = x.astype(np.float64)
+    score = d[::step] @ d.T
+    score[np.arange(len(score)), np.arange(0, n, step)] = -np.inf
+    want = np.argsort(-score, axis=1)[:, :20]
+    hits = sum(len(got[i * step] & set(w.tolist())) for i, w in enumerate(want))
+    assert hits >= 0.93 * want.size, hits / want.size
+
+
 def test_empty_tables(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     bench, labels = spark.createDataFrame([], "item_id long, text string"), spark.createDataFrame([], "doc_id long, quality int")
@@ -381,6 +424,7 @@ def test_empty_tables(spark):
     made = [
         near_duplicates.near_duplicates(docs), substring_dedup.without_repeats(docs), decontamination.contamination(docs, bench), line_dedup.line_counts(docs), sharding.shard(docs),
         byte_bpe.encode_digests(docs, ranks), quality.scores(docs, quality.learn(docs, labels)), nearest.nearest(spark.createDataFrame([], "vec_id long, embedding array<float>")),
+        token_counts.token_counts(docs, open(P.path("word_bpe_49k.json"), encoding="utf-8").read()),
         url_filters.judge_urls(spark.createDataFrame([], "page_id long, url string"), spark.createDataFrame(queries.URL_RULES, "host string, path string, verdict string")),
     ]
     assert [m.count() for m in made] == [0] * len(made)
