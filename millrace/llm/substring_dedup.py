@@ -1,10 +1,13 @@
 """Operator 3: substring dedup by level-wise doubling.
 
 A window is a run of `window` words of one document; those whose words also start in a document with a smaller doc_id are
-removed. Levels double in length, the last one is the window: short runs are counted first, and only windows around a run
-that is repeated between documents are extended to the next level. At the first level not every run is needed: each window
-holds a run with the smallest hash of its runs, the same one wherever the window stands, so only these are counted. A level
-that finds nothing repeated ends the search.
+removed. Levels double in length, from FIRST words or a few more to the window: short runs are counted first, and only windows
+around a run that is repeated between documents are extended to the next level, until a level finds nothing repeated or the
+window is reached. Below the window not every run is needed: each window holds a run with the smallest hash of its runs, the
+same one wherever the window stands, so only these are counted.
+
+A run's hash can be that of another run too, which makes more candidates and loses none. At the last level a second, independent
+hash of the window's bytes goes with the first, so that windows are told apart by 128 bits.
 
 At each level runs are rows (hash, doc_id), summed with partial minima and joined back to the documents that hold them; both
 shuffles can be split where a run is in very many documents. Texts are read again with the hashes found for them.
@@ -21,17 +24,23 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import SplitHashes, as_bytes, rows_of, stored, window_hashes
 
 WINDOW = 13
+#: The least length of the first level: shorter runs are so frequent that they rule hardly anything out.
+FIRST = 7
 
 
 def levels(window: int) -> list[int]:
-    """Lengths that double, the last cut to the window: 13 gives 7, 13."""
-    return [-(-window // 2), window] if window > 1 else [1]
+    """Lengths that double up to the window, rounded up: 13 gives 7, 13; 100 gives 7, 13, 25, 50, 100."""
+    out = [window]
+    while (half := -(-out[0] // 2)) >= FIRST:
+        out.insert(0, half)
+    return out
 
 
 def least_in_windows(runs: np.ndarray, n: int) -> np.ndarray:
@@ -44,21 +53,22 @@ def least_in_windows(runs: np.ndarray, n: int) -> np.ndarray:
 
 
 class Windows:
-    """Hashes of a text's windows, and of the run that stands for each."""
+    """Hashes of a text's windows, and of the runs that stand for each."""
 
     def __init__(self, window: int = WINDOW):
-        self.window, self.short = window, levels(window)[0]
+        self.window = window
         self.hashes = SplitHashes()
 
-    def of(self, h: np.ndarray) -> np.ndarray:
-        """A hash of each window, of the hashes of the words; none for short texts."""
-        return window_hashes(h, self.window)
-
-    def runs(self, h: np.ndarray) -> np.ndarray:
-        """The least hash of each window's short runs."""
+    def runs(self, h: np.ndarray, length: int) -> np.ndarray:
+        """The least hash of each window's runs of that length, of the hashes of the words; none for short texts."""
         if len(h) < self.window:
             return np.empty(0, np.uint64)
-        return least_in_windows(window_hashes(h, self.short), self.window - self.short + 1)
+        return least_in_windows(window_hashes(h, length), self.window - length + 1)
+
+    def checks(self, words: list[bytes], starts: np.ndarray) -> list[int]:
+        """Another hash of the windows at these places, as a signed integer."""
+        joined = (b" ".join(words[i : i + self.window]) for i in starts.tolist())
+        return [x - (x >> 63 << 64) for x in map(xxhash.xxh3_64_intdigest, joined)]
 
 
 def _distinct(values: np.ndarray) -> np.ndarray:
@@ -73,70 +83,72 @@ def _among(values: np.ndarray, known: np.ndarray) -> np.ndarray:
     return known[np.minimum(np.searchsorted(known, values), len(known) - 1)] == values
 
 
-def _hash_rows(docs: list, hashes: list[np.ndarray]) -> pa.RecordBatch:
-    doc = np.repeat(np.array(docs, np.int64), [len(h) for h in hashes])
-    flat = np.concatenate(hashes) if hashes else np.empty(0, np.uint64)
-    return pa.record_batch({"hash": pa.array(flat.view(np.int64)), "doc_id": pa.array(doc)})
-
-
-_ROWS = "hash long, doc_id long"
+def _runs(texts: DataFrame, window: int, before: int | None, length: int) -> DataFrame:
+    """(hash, check, doc_id): the distinct runs of that length that stand for a document's windows, check being 0 below the window.
 
-
-def _short_runs(texts: DataFrame, window: int) -> DataFrame:
-    """(hash, doc_id) of the distinct short runs that stand for a document's windows."""
+    before: the length of the level before; texts then has the hashes that are repeated there, and only windows around these count."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         windows = Windows(window)
         for batch in rows_of(batches):
-            docs, found = [], []
-            for doc, raw in zip(batch.column(0).to_pylist(), as_bytes(batch.column(1)), strict=True):
-                words = windows.hashes.of(raw)
-                if doc is not None and len(words) >= window:
-                    docs.append(doc)
-                    found.append(_distinct(windows.runs(words)))
-            yield _hash_rows(docs, found)
-
-    return texts.mapInArrow(run, _ROWS)
-
-
-def _longer(texts: DataFrame, repeated: DataFrame, window: int) -> DataFrame:
-    """(hash, doc_id) of the distinct windows around a run that is repeated; repeated: (doc_id, hashes)."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        windows = Windows(window)
-        for batch in rows_of(batches):
-            docs, found = batch.column(0).to_pylist(), []
-            for raw, known in zip(as_bytes(batch.column(1)), batch.column(2), strict=True):
-                words = windows.hashes.of(raw)
-                found.append(_distinct(windows.of(words)[_among(windows.runs(words), known.values.to_numpy())]))
-            yield _hash_rows(docs, found)
-
-    return texts.join(repeated, "doc_id").select("doc_id", "text", "hashes").mapInArrow(run, _ROWS)
-
-
-def _by_document(rows: DataFrame) -> DataFrame:
-    """(doc_id, hashes): as many as a document has windows at most."""
-    return rows.groupBy("doc_id").agg(F.collect_list("hash").alias("hashes"))
+            docs, found, checks = [], [], []
+            known = batch.column(2) if before else [None] * batch.num_rows
+            for doc, raw, mine in zip(batch.column(0).to_pylist(), as_bytes(batch.column(1)), known, strict=True):
+                h = windows.hashes.of(raw)
+                if doc is None or len(h) < window:
+                    continue
+                runs, at = windows.runs(h, length), None
+                if before:
+                    at = np.flatnonzero(_among(windows.runs(h, before), mine.values.to_numpy()))
+                    runs = runs[at]
+                if length < window:
+                    runs = _distinct(runs)
+                    checks.append(np.zeros(len(runs), np.int64))
+                else:
+                    at = np.arange(len(runs)) if at is None else at
+                    pairs = np.array(list({*zip(runs.view(np.int64).tolist(), windows.checks(raw.split(), at), strict=True)}), np.int64).reshape(-1, 2)
+                    runs = pairs[:, 0]
+                    checks.append(pairs[:, 1])
+                docs.append(doc)
+                found.append(runs.view(np.int64))
+            n = [len(x) for x in found]
+            flat, other = (np.concatenate([np.empty(0, np.int64), *x]) for x in (found, checks))
+            yield pa.record_batch({"hash": pa.array(flat), "check": pa.array(other), "doc_id": pa.array(np.repeat(np.array(docs, np.int64), n))})
+
+    return texts.select("doc_id", "text", *(["hashes"] if before else [])).mapInArrow(run, "hash long, check long, doc_id long")
 
 
 def repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
-    """(doc_id, hashes): of each document, the hashes of those of its windows that also start in one with a smaller doc_id."""
+    """(doc_id, windows): of each document, the hash and check of its windows that also start in one with a smaller doc_id."""
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    runs = _short_runs(texts, window)
-    shared = runs.groupBy("hash").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high").select("hash")
-    repeated = stored(_by_document(runs.join(shared, "hash")), "runs", release=True)
-    longer = _longer(texts, repeated, window)
-    low = longer.groupBy("hash").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high").select("hash", "low")
-    return stored(_by_document(longer.join(low, "hash").where("low < doc_id").select("hash", "doc_id")), "windows", release=True)
-
-
-def _covered(windows: np.ndarray, known: np.ndarray, n_words: int, window: int) -> np.ndarray:
-    """Whether each word is covered by one of the known windows."""
-    starts = np.flatnonzero(_among(windows, known))
-    steps = np.zeros(n_words + 1, np.int32)
+    around, before = texts, None
+    for length in levels(window):
+        runs = _runs(around, window, before, length)
+        keys = ["hash"] if length < window else ["hash", "check"]
+        low = runs.groupBy(*keys).agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high").drop("high")
+        if length == window:
+            break
+        repeated = runs.select("hash", "doc_id").join(low.select("hash"), "hash").groupBy("doc_id").agg(F.collect_list("hash").alias("hashes"))
+        repeated = stored(repeated, "runs", release=True)
+        if repeated.isEmpty():
+            return docs.sparkSession.createDataFrame([], "doc_id long, windows array<struct<hash: bigint, check: bigint>>")
+        around, before = texts.join(repeated, "doc_id"), length
+    found = runs.join(low, keys).where("low < doc_id")
+    return stored(found.groupBy("doc_id").agg(F.collect_list(F.struct("hash", "check")).alias("windows")), "windows", release=True)
+
+
+def _kept(windows: Windows, raw: bytes, known: pa.StructArray) -> list[bytes]:
+    """The words of a text that none of the known windows covers."""
+    words, runs = raw.split(), windows.runs(windows.hashes.of(raw), windows.window)
+    hashes, checks = (known.field(c).to_numpy() for c in ("hash", "check"))
+    starts = np.flatnonzero(_among(runs, hashes))
+    pairs = {*zip(hashes.tolist(), checks.tolist(), strict=True)}
+    mine = zip(runs[starts].view(np.int64).tolist(), windows.checks(words, starts), strict=True)
+    starts = starts[np.fromiter((p in pairs for p in mine), bool, len(starts))]
+    steps = np.zeros(len(words) + 1, np.int32)
     np.add.at(steps, starts, 1)
-    np.add.at(steps, starts + window, -1)
-    return np.cumsum(steps[:-1]) > 0
+    np.add.at(steps, starts + windows.window, -1)
+    return [w for w, c in zip(words, np.cumsum(steps[:-1]).tolist(), strict=True) if not c]
 
 
 def without_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -150,31 +162,28 @@ def without_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
             for raw, known in zip(as_bytes(batch.column(1)), batch.column(2), strict=True):
                 words = raw.split() if raw else []
                 n_words.append(len(words))
-                n_removed.append(0)
-                if known.is_valid:
-                    covered = _covered(windows.of(windows.hashes.of(raw)), known.values.to_numpy(), len(words), window)
-                    words = [w for w, c in zip(words, covered.tolist(), strict=True) if not c]
-                    n_removed[-1] = n_words[-1] - len(words)
+                if known.is_valid and len(words) >= window:
+                    words = _kept(windows, raw, known.values)
+                n_removed.append(n_words[-1] - len(words))
                 digests.append(hashlib.sha256(b" ".join(words)).hexdigest())
             yield pa.record_batch({"doc_id": batch.column(0), "n_words": pa.array(n_words, pa.int64()), "n_removed": pa.array(n_removed, pa.int64()), "kept_sha256": pa.array(digests, pa.string())})
 
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return texts.join(found, "doc_id", "left").select("doc_id", "text", "hashes").mapInArrow(run, "doc_id long, n_words long, n_removed long, kept_sha256 string")
+    return texts.join(found, "doc_id", "left").select("doc_id", "text", "windows").mapInArrow(run, "doc_id long, n_words long, n_removed long, kept_sha256 string")
 
 
 def deduplicated(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """docs with the words that windows cover cut out of the text, the rest joined by one space; other texts stay as they are."""
-    found = repeats(docs, window).select(F.col("doc_id").alias("__millrace_id"), F.col("hashes").alias("__millrace_hashes"))
+    found = repeats(docs, window).select(F.col("doc_id").alias("__millrace_id"), F.col("windows").alias("__millrace_windows"))
 
-    def cut(text: pa.Array, hashes: pa.Array) -> pa.Array:
+    def cut(text: pa.Array, known: pa.Array) -> pa.Array:
         windows, out = Windows(window), []
-        for raw, known in zip(as_bytes(text), hashes, strict=True):
-            words = raw.split() if raw else []
-            if known.is_valid and len(words) >= window:
-                covered = _covered(windows.of(windows.hashes.of(raw)), known.values.to_numpy(), len(words), window)
-                raw = b" ".join(w for w, c in zip(words, covered.tolist(), strict=True) if not c)
+        for raw, mine in zip(as_bytes(text), known, strict=True):
+            if mine.is_valid and raw and len(raw.split()) >= window:
+                words = _kept(windows, raw, mine.values)
+                raw = b" ".join(words) if len(words) < len(raw.split()) else raw
             out.append(None if raw is None else raw.decode())
         return pa.array(out, pa.string())
 
     joined = docs.join(found, F.col("doc_id") == F.col("__millrace_id"), "left")
-    return joined.withColumn("text", F.arrow_udf(cut, "string")("text", "__millrace_hashes")).drop("__millrace_id", "__millrace_hashes")
+    return joined.withColumn("text", F.arrow_udf(cut, "string")("text", "__millrace_windows")).drop("__millrace_id", "__millrace_windows")

@@ -109,6 +109,35 @@ def test_substring_dedup(docs, texts):
     assert substring_dedup.deduplicated(docs).columns == docs.columns
 
 
+def test_substring_levels(spark, monkeypatch):
+    """Levels double, end where nothing is repeated, and windows of equal first hashes are told apart."""
+    assert substring_dedup.levels(13) == [7, 13] and substring_dedup.levels(100) == [7, 13, 25, 50, 100] and substring_dedup.levels(3) == [3]
+    own = random.Random(4)
+    some = lambda n: [f"u{own.randrange(10**9)}" for _ in range(n)]
+    shared = some(60)
+    texts = [(1, some(30) + shared), (2, shared[:40] + some(80)), (3, some(70)), (4, shared[20:] + some(5)), (5, shared[:8] + some(50))]
+    docs = spark.createDataFrame([(i, " ".join(w)) for i, w in texts], "doc_id long, text string")
+    for window in (3, 13, 30, 100):
+        starts = {}
+        for i, w in texts:
+            for j in range(len(w) - window + 1):
+                starts.setdefault(tuple(w[j : j + window]), set()).add(i)
+        want = {i: len({k for j in range(len(w) - window + 1) if min(starts[tuple(w[j : j + window])]) < i for k in range(j, j + window)}) for i, w in texts}
+        assert {r["doc_id"]: r["n_removed"] for r in substring_dedup.without_repeats(docs, window).collect()} == want
+    seen = []
+    monkeypatch.setattr(substring_dedup, "_runs", lambda *a, real=substring_dedup._runs: seen.append(a[-1]) or real(*a))
+    apart = docs.where("doc_id in (3, 5)")
+    assert {r["n_removed"] for r in substring_dedup.without_repeats(apart, 100).collect()} == {0} and seen == [7]
+    # words that are equal modulo 2^64 as polynomials: their first hashes agree
+    swap = str.maketrans("ab", "ba")
+    x = "a"
+    for _ in range(11):
+        x += x.translate(swap)
+    rest = " ".join(some(12))
+    same = spark.createDataFrame([(1, f"{x} {rest}"), (2, f"{x.translate(swap)} {rest}"), (3, f"{x} {rest}")], "doc_id long, text string")
+    assert [r["n_removed"] for r in substring_dedup.without_repeats(same).orderBy("doc_id").collect()] == [0, 0, 13]
+
+
 def test_window_hashes_tell_windows_apart():
     h = SplitHashes()
     for n in (1, 2, 5, 7, 13):
