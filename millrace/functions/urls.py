@@ -29,8 +29,9 @@ def on_hosts(url: Column, hosts: Iterable[str]) -> Column:
 
 
 def links_in(html: Column) -> Column:
-    """The targets of all links in an HTML text; a cell that only says "PDF" has none."""
-    return F.regexp_extract_all(html, F.lit('href="([^"]*)"'), F.lit(1))
+    """The targets of all links in an HTML text, quoted or not; a cell that only says "PDF" has none."""
+    found = F.regexp_extract_all(html, F.lit(r"""(?i)(?<![\w-])href\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""), F.lit(1))
+    return F.transform(found, lambda x: F.regexp_replace(x, "^[\"']|[\"']$", ""))
 
 
 def is_entry_link(label: Column, link: Column) -> Column:

@@ -29,23 +29,37 @@ def merged(*parts: DataFrame) -> DataFrame:
     return out
 
 
+def one_of_each(rows: DataFrame, on: list[str], columns: list[str]) -> DataFrame:
+    """One row of each key: of each column the only value that isn't null, or null where there are several.
+
+    `several` tells of the keys where that happened."""
+    least = rows.groupBy(*on).agg(*(F.struct(F.min(c).alias("low"), F.max(c).alias("high")).alias(c) for c in columns))
+    several = F.lit(False)
+    for c in columns:
+        several = several | F.coalesce(F.col(c)["low"] != F.col(c)["high"], F.lit(False))
+    return least.select(*on, several.alias("several"), *(F.when(F.col(c)["low"] == F.col(c)["high"], F.col(c)["low"]).alias(c) for c in columns))
+
+
 def enriched(rows: DataFrame, details: DataFrame, on: list[str], columns: list[str], previous: DataFrame | None = None) -> DataFrame:
     """rows with columns of details, matched by keys that name the event; what rows know already wins.
 
-    `conflict` marks a known value that details contradict; `matched` a found partner. Without one, the previous value stays."""
-    names = {c: f"__new_{c}" for c in columns}
-    out = rows.join(details.select(*on, *(F.col(c).alias(names[c]) for c in columns), F.lit(True).alias("matched")), on, "left")
+    `conflict` marks a known value that details contradict, or details that contradict one another, which give none; `matched` a
+    found partner. Without one, the previous value stays. Rows are never doubled; where rows have a column of a mark's name, they keep
+    it and the mark is `enriched_conflict` or `enriched_matched`."""
+    marks = {m: f"enriched_{m}" if m in rows.columns else m for m in ("matched", "conflict")}
+    found = one_of_each(details, on, columns)
+    out = rows.join(found.select(*on, *(F.col(c).alias(f"__new_{c}") for c in columns), F.col("several").alias("__several"), F.lit(True).alias("__matched")), on, "left")
     if previous is not None:
-        out = out.join(previous.select(*on, *(F.col(c).alias(f"__old_{c}") for c in columns)), on, "left")
-    conflict = F.lit(False)
+        out = out.join(one_of_each(previous, on, columns).select(*on, *(F.col(c).alias(f"__old_{c}") for c in columns)), on, "left")
+    conflict = F.coalesce("__several", F.lit(False))
     for c in columns:
         mine = F.col(c) if c in rows.columns else F.lit(None)
-        conflict = conflict | F.coalesce(mine != F.col(names[c]), F.lit(False))
-    out = out.withColumn("conflict", conflict).withColumn("matched", F.coalesce("matched", F.lit(False)))
+        conflict = conflict | F.coalesce(mine != F.col(f"__new_{c}"), F.lit(False))
+    out = out.withColumns({marks["conflict"]: conflict, marks["matched"]: F.coalesce("__matched", F.lit(False))})
     for c in columns:
-        sources = ([F.col(c)] if c in rows.columns else []) + [F.col(names[c])] + ([F.col(f"__old_{c}")] if previous is not None else [])
+        sources = ([F.col(c)] if c in rows.columns else []) + [F.col(f"__new_{c}")] + ([F.col(f"__old_{c}")] if previous is not None else [])
         out = out.withColumn(c, F.coalesce(*sources))
-    return out.drop(*names.values(), *(f"__old_{c}" for c in columns))
+    return out.drop("__several", "__matched", *(f"__{k}_{c}" for k in ("new", "old") for c in columns))
 
 
 def counts(rows: DataFrame, by: str) -> DataFrame:
@@ -54,8 +68,9 @@ def counts(rows: DataFrame, by: str) -> DataFrame:
 
 
 def located(rows: DataFrame, areas: DataFrame, on: str | list[str]) -> DataFrame:
-    """rows with the area of their key; an unknown key has none."""
-    return rows.join(areas, on, "left")
+    """rows with the area of their key; an unknown key has none, nor has one that several areas claim."""
+    keys = [on] if isinstance(on, str) else on
+    return rows.join(one_of_each(areas, keys, [c for c in areas.columns if c not in keys]).drop("several"), keys, "left")
 
 
 def divisions(text: Column) -> Column:

@@ -23,6 +23,11 @@ def latest(names: DataFrame, column: str, prefix: str, numeric: bool = True) ->
     return mine.agg((F.max_by(of, version_key(of)) if numeric else F.max(of)).alias("latest"))
 
 
+def latest_holding(entries: DataFrame, name: str, file: str, wanted: str, prefix: str) -> DataFrame:
+    """(latest): the newest of the names with the prefix that hold the wanted file; entries: a row for each name and file."""
+    return latest(entries.where(F.col(file) == wanted), name, prefix)
+
+
 def outdated(names: DataFrame, column: str, prefix: str, current: str) -> DataFrame:
     """The names to delete: those with our prefix but for the current one; foreign names are left alone."""
     return names.where(F.startswith(F.col(column), F.lit(prefix)) & (F.col(column) != current))
@@ -33,9 +38,9 @@ def first_available(*columns: Column) -> Column:
     return F.coalesce(*columns)
 
 
-def build(rows: DataFrame, root: str, name: str) -> None:
-    """Writes a snapshot; it isn't seen until it is published."""
-    rows.write.mode("error").parquet(f"{root}/{name}")
+def build(rows: DataFrame, root: str, name: str, form: str = "parquet") -> None:
+    """Writes a snapshot, as Parquet or as one JSON object a line; it isn't seen until it is published."""
+    rows.write.mode("error").format(form).save(f"{root}/{name}")
 
 
 def publish(spark: SparkSession, root: str, name: str, at: int) -> None:

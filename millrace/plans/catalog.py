@@ -54,6 +54,18 @@ def guarded_last_good(spark, sf_dir):
     return guards.last_good(*_halves(spark, sf_dir), "event_type")
 
 
+@_query(f"""
+with e as (select event_id, ts < timestamp '{HALF}' as old, case when event_type = 'view' then null else event_type end as event_type from events),
+v as (select event_type, count(*) filter (not old) > 0 and count(*) filter (not old) >= count(*) filter (old) as accepted from e group by 1)
+select event_id, e.event_type, old as served_from_previous from e join v on e.event_type is not distinct from v.event_type where old <> accepted
+""")
+def guarded_null_source(spark, sf_dir):
+    """Rows without a source are guarded like those of any other."""
+    unnamed = F.when(F.col("event_type") != "view", F.col("event_type"))
+    before, after = (x.select("event_id", unnamed.alias("event_type")) for x in _halves(spark, sf_dir))
+    return guards.last_good(before, after, "event_type")
+
+
 @_query(_VERDICT + """
 select *, n_current > 0 and n_current >= n_previous as accepted,
   case when n_current = 0 then 'missing' when n_current < n_previous then 'fewer rows' else '' end as reason from v
@@ -78,13 +90,17 @@ def normalised_urls(spark, sf_dir):
     return out.join(known, "url", "left").select("page_id", "url", F.coalesce("known", F.lit(False)).alias("known"))
 
 
-@_query("""
-select page_id, case when not starts_with(url, 'https://') then 'skip: origin' when page_id % 5 = 0 then 'navigation'
-  when split_part(split_part(url, '#', 1), '?', 1) = 'https://ththed.example.com/en/1' then 'data' when ends_with(split_part(split_part(url, '#', 1), '?', 1), '#') then 'shell' else 'skip: unknown' end as route from pages
+@_query(r"""
+with r as (select page_id, regexp_replace(regexp_replace(url, '//[^/]*/', '//app/'), '/[0-9]+(\.html|/)?', '/') as url from pages),
+b as (select *, split_part(split_part(url, '#', 1), '?', 1) as bare from r)
+select page_id, case when page_id % 7 = 0 then 'skip: method' when not starts_with(url, 'https://') then 'skip: origin' when page_id % 5 = 0 then 'navigation'
+  when bare = 'https://app/de/' then 'data' when bare in ('https://app/en/', 'https://app/es/') then 'shell' else 'skip: unknown' end as route from b
 """)
 def routed_requests(spark, sf_dir):
-    mode = F.when(F.col("page_id") % 5 == 0, "navigate").otherwise("cors")
-    route = urls.route(F.lit("GET"), F.col("url"), mode, "https://", "https://ththed.example.com/en/1", ["https://none.example.com/#"])
+    """Requests to one host for a path of a language: every rule of the router has some."""
+    url = F.regexp_replace(F.regexp_replace("url", "//[^/]*/", "//app/"), r"/[0-9]+(\.html|/)?", "/")
+    method, mode = F.when(F.col("page_id") % 7 == 0, "POST").otherwise("GET"), F.when(F.col("page_id") % 5 == 0, "navigate").otherwise("cors")
+    route = urls.route(method, url, mode, "https://", "https://app/de/", ["https://app/en/", "https://app/es/"])
     return _table(spark, sf_dir, "pages").select("page_id", route.alias("route"))
 
 
@@ -246,21 +262,56 @@ def reserve_days(spark, sf_dir):
     return rows.select("id", F.coalesce(text("days"), F.lit("")).alias("event_days"), text("reserve").alias("reserve_days"), fits.alias("year_fits"))
 
 
-@_query("select event_type, count(*) as n from events where ts < timestamp '2024-01-16' group by 1")
+@_query(_VERDICT + f"""
+select event_type, count(*) as n from events
+where (ts >= timestamp '{HALF}') = (select bool_and(n_current > 0 and n_current >= n_previous) from v) group by 1
+""")
 def published_snapshot(spark, sf_dir):
-    """The first half is published, the second is refused as it fails the guard; readers still see the first."""
+    """The first half is published, and the second if the guard accepts all its sources; else readers still see the first."""
     before, after = _halves(spark, sf_dir)
     root = f"{_shared(spark)}/millrace-snapshots-{uuid.uuid4().hex}"
     snapshots.guarded_publish(before, root, "v1", 1, before.limit(1).count() > 0)
-    snapshots.guarded_publish(after, root, "v2", 2, guards.report(before, after.limit(0), "event_type").where("not accepted").count() == 0)
+    snapshots.guarded_publish(after, root, "v2", 2, guards.report(before, after, "event_type").where("not accepted").count() == 0)
     return snapshots.read_last_good(spark, root).groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
 
 
+@_query("select c_mktsegment, count(*) as n, sum(c_custkey) as keys from customer group by 1")
+def published_json(spark, sf_dir):
+    """Records that are published as JSON, a line each, and read again."""
+    root = f"{_shared(spark)}/millrace-json-{uuid.uuid4().hex}"
+    customers = _table(spark, sf_dir, "customer")
+    snapshots.build(customers, root, "v1", "json")
+    read = spark.read.schema(customers.schema).json(f"{root}/v1")
+    return read.groupBy("c_mktsegment").agg(F.count(F.lit(1)).alias("n"), F.sum("c_custkey").alias("keys"))
+
+
+@_query("select 'src' || max(cast(substr(source, 4) as integer)) as latest from documents where starts_with(source, 'src') and lang = 'fr'")
+def latest_holding(spark, sf_dir):
+    return snapshots.latest_holding(_table(spark, sf_dir, "documents"), "source", "lang", "fr", "src")
+
+
+@_query("""
+with k as (select o_custkey, min(o_orderpriority) as low, max(o_orderpriority) as high, true as found from orders group by 1)
+select c_custkey, c_custkey % 2 as matched, case when low = high then low end as o_orderpriority, coalesce(low <> high, false) as conflict, coalesce(found, false) as enriched_matched
+from customer left join k on o_custkey = c_custkey
+""")
+def enriched_once(spark, sf_dir):
+    """Several details of one key that contradict each other give no value, and double no row; a column `matched` is kept."""
+    rows = _table(spark, sf_dir, "customer").select("c_custkey", (F.col("c_custkey") % 2).alias("matched"))
+    details = _table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("c_custkey"), "o_orderpriority")
+    return records.enriched(rows, details, ["c_custkey"], ["o_orderpriority"])
+
+
 def _shared(spark: SparkSession) -> str:
-    """The folder that the cluster shares; our own only where none is set."""
+    """The folder that the cluster shares; our own only where none is set and there is one machine."""
+    import re
     import tempfile
 
-    return spark.conf.get("spark.checkpoint.dir", None) or f"file://{tempfile.mkdtemp(prefix='millrace-')}"
+    if path := spark.conf.get("spark.checkpoint.dir", None):
+        return path
+    if not re.fullmatch(r"local(\[.*\])?", spark.conf.get("spark.master", "")):
+        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+    return f"file://{tempfile.mkdtemp(prefix='millrace-')}"
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

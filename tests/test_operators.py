@@ -44,6 +44,36 @@ def test_entry_lists_and_results_are_no_entry_links(spark):
     assert all(r[0] == r[1] for r in got)
 
 
+def test_null_is_a_source(spark):
+    old = spark.createDataFrame([(None, 1), ("a", 1)], "source string, x int")
+    new = spark.createDataFrame([(None, 2), (None, 3)], "source string, x int")
+    assert sorted(one(guards.last_good(old, new, "source")), key=repr) == [("a", 1, True), (None, 2, False), (None, 3, False)]
+    assert sorted(one(guards.report(old, new, "source").select("source", "reason")), key=repr) == [("a", "missing"), (None, "")]
+    assert one(guards.last_good(new, old, "source").where("source is null").select("x", "served_from_previous").orderBy("x")) == [(2, True), (3, True)]
+
+
+def test_details_double_no_row(spark):
+    rows = spark.createDataFrame([(1, None, 7), (2, None, 8), (3, "own", 9)], "k int, v string, matched int")
+    details = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c"), (2, "c"), (3, "other"), (None, "d")], "k int, v string")
+    got = sorted(one(records.enriched(rows, details, ["k"], ["v"]).select("k", "v", "matched", "conflict", "enriched_matched")))
+    assert got == [(1, None, 7, True, True), (2, "c", 8, False, True), (3, "own", 9, True, True)]
+    assert sorted(one(records.located(rows.select("k"), details, "k"))) == [(1, None), (2, "c"), (3, "other")]
+
+
+def test_links_in_any_quotes(spark):
+    html = """<a href="x y">1</a><a HREF='b"c'>2</a><a href = d/e>3</a><a data-href="no">4</a><td>PDF</td>"""
+    assert spark.createDataFrame([(html,)], "h string").select(urls.links_in(F.col("h"))).first()[0] == ["x y", 'b"c', "d/e"]
+
+
+def test_an_empty_first_batch_publishes_nothing(spark, tmp_path):
+    root, rows = f"file://{tmp_path}/state", spark.createDataFrame([("a", 1)], "source string, x int")
+    write = guarded_sink(root, "source")
+    write(rows.limit(0), 0)
+    assert snapshots.read_last_good(spark, root) is None
+    write(rows, 1)
+    assert one(snapshots.read_last_good(spark, root)) == [("a", 1)]
+
+
 def test_versions(spark):
     names = spark.createDataFrame([("v0.8.9",), ("v0.8.14",), ("other-1",)], "n string")
     assert snapshots.latest(names, "n", "v").first()[0] == "v0.8.14"
