@@ -121,14 +121,14 @@ def _rooted(rows: DataFrame, roots: DataFrame, node: str = "node") -> DataFrame:
 
 
 def _near(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    """The pairs that sizes and agreeing minima leave possible: two sets that are linked agree in fewer than three quarters of
-    `percent` of the minima about once in ten thousand times."""
+    """The pairs that sizes and agreeing minima leave possible: two sets that are linked agree in fewer than half of `percent` of
+    60 minima about once in 10^12 times."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
                 x, y = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint8).reshape(batch.num_rows, -1) for i in (2, 3))
-                possible = (x == y).mean(axis=1) * 400 >= 3 * percent
+                possible = (x == y).mean(axis=1) * 200 >= percent
                 yield pa.record_batch([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(possible))
 
     one = pairs.join(nodes.select(F.col("node").alias("a"), F.col("k.bits").alias("x"), F.col("n_shingles").alias("nx")), "a")
@@ -136,15 +136,15 @@ def _near(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     return two.where(F.least("nx", "ny") * 100 >= F.greatest("nx", "ny") * percent).select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
-#: Bytes of packed sets that are held together in a block.
-BLOCK = 1 << 19
+#: Bytes of packed sets that are held together in a block, and sets.
+BLOCK, BLOCK_SETS = 1 << 19, 1024
 #: Components of fewer nodes are pooled.
 SMALL = 64
 
 
 def _blocks(rows: DataFrame, name: str) -> DataFrame:
-    """rows (big, root, node, shingles), packed to blocks of about BLOCK bytes of one root, dealt by the node's hash."""
-    parts = rows.groupBy("big", "root").agg(F.ceil(F.sum(F.length("shingles")) / BLOCK).alias("parts"))
+    """rows (big, root, node, shingles), packed to blocks of about BLOCK bytes, or BLOCK_SETS sets, of one root, dealt by the node's hash."""
+    parts = rows.groupBy("big", "root").agg(F.greatest(F.ceil(F.sum(F.length("shingles")) / BLOCK), F.ceil(F.count(F.lit(1)) / BLOCK_SETS)).alias("parts"))
     part = F.pmod(F.xxhash64("node"), F.greatest("parts", F.lit(1)))
     return rows.join(parts, ["big", "root"]).groupBy("big", "root", part.alias("part")).agg(F.collect_list(F.struct("node", "shingles")).alias(name)).drop("part")
 
