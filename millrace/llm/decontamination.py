@@ -6,8 +6,9 @@ match of at least `window` words covers the last `window` words, and the automat
 Items shorter than the window are one window themselves, marked at their state. Before streaming, a bit table of the items'
 word triples leaves out stretches that can't hold a window; it has no false negatives.
 
-The items are the only data that is collected and sent to all workers, in portions of at most `portion` words; more items
-make more passes over the documents, not a larger automaton.
+The items are the only data that is collected and sent to all workers, in portions of at most `portion` words. A benchmark of
+more portions makes one pass over the documents for each, with one automaton in each worker; what a pass finds is written by the
+digest of its text and joined at the end. So the driver and a worker hold one portion at a time.
 
 Defined results: a null text or one without words has no words and no hits; an item without words is ignored; an item with
 a null id hits words but isn't listed; equal items share their windows and each is listed; an empty benchmark hits nothing;
@@ -17,6 +18,7 @@ rows are never dropped by `contamination`; extra columns are ignored by it and k
 from __future__ import annotations
 
 import hashlib
+import itertools
 import pickle
 from collections.abc import Iterator
 from itertools import repeat
@@ -26,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORDS_ONLY, as_bytes, rows_of
+from .common import WORDS_ONLY, as_bytes, rows_of, stored
 
 WINDOW = 13
 PORTION = 100_000
@@ -172,7 +174,7 @@ _built: dict[str, SuffixAutomaton] = {}
 
 
 def _automaton(key: str, packed: bytes, window: int) -> SuffixAutomaton:
-    """One automaton is kept in a worker; the next portion's takes its place."""
+    """One automaton is kept in a worker: a pass needs no other."""
     if key not in _built:
         _built.clear()
         _built[key] = SuffixAutomaton(pickle.loads(packed), window)
@@ -223,24 +225,47 @@ def _searcher(ids: list[str | None], items: list[list[bytes]], window: int):
     return run
 
 
+_KIND = "struct<n_words: bigint, spans: array<bigint>, items: array<string>>"
+
+
+def _counted(text: pa.Array) -> pa.Array:
+    return pa.array([len(words_of(x)) for x in as_bytes(text)], pa.int64())
+
+
+def _together(spans: pa.Array, items: pa.Array) -> pa.Array:
+    """The findings of several passes over a text as one."""
+    out = []
+    for all_spans, all_items in zip(spans.to_pylist(), items.to_pylist(), strict=True):
+        merged: list[tuple[int, int]] = []
+        for x in all_spans:
+            merged = _merged(merged, list(zip(x[::2], x[1::2], strict=True)))
+        out.append({"spans": [i for s in merged for i in s], "items": sorted({i for x in all_items for i in x})})
+    return pa.array(out, pa.struct([("spans", pa.list_(pa.int64())), ("items", pa.list_(pa.string()))]))
+
+
 def found_in(docs: DataFrame, benchmark: DataFrame, column: str = "found", window: int = WINDOW, portion: int = PORTION) -> DataFrame:
     """docs with a column (n_words, spans, items): spans holds first and end word of each covered stretch, one after another."""
-    runs = [_searcher(ids, items, window) for ids, items in _portions(benchmark, portion)]
-
-    def all_portions(text: pa.Array) -> pa.Array:
-        if len(runs) == 1:
-            return runs[0](text)
-        parts = [run(text).to_pylist() for run in runs]
-        out = []
-        for row in zip(*parts, strict=True):
-            spans: list[tuple[int, int]] = []
-            for x in row:
-                spans = _merged(spans, list(zip(x["spans"][::2], x["spans"][1::2], strict=True)))
-            out.append({"n_words": row[0]["n_words"], "spans": [i for s in spans for i in s], "items": [i for x in row for i in x["items"]]})
-        return pa.array(out, _FOUND)
-
-    kind = "struct<n_words: bigint, spans: array<bigint>, items: array<string>>"
-    return docs.withColumn(column, F.arrow_udf(all_portions, kind)(F.col("text").cast("string")))
+    portions, text = _portions(benchmark, portion), F.col("text").cast("string")
+    search = lambda p: F.arrow_udf(_searcher(*p, window), _KIND)(text)
+    first, second = next(portions), next(portions, None)
+    if second is None:
+        return docs.withColumn(column, search(first))
+    found, digest = None, F.md5(text)
+    for p in itertools.chain((first, second), portions):
+        one = docs.select(digest.alias("__millrace_digest"), search(p).alias("f")).where("size(f.spans) > 0")
+        one = stored(one.select("__millrace_digest", "f.spans", "f.items").dropDuplicates(["__millrace_digest"]), "hits")
+        found = one if found is None else found.unionByName(one)
+    lists = found.groupBy("__millrace_digest").agg(F.collect_list("spans").alias("spans"), F.collect_list("items").alias("items"))
+    merge = F.arrow_udf(_together, "struct<spans: array<bigint>, items: array<string>>")
+    hits = lists.select("__millrace_digest", merge("spans", "items").alias("__millrace_hits"))
+    hit = F.col("__millrace_hits")
+    whole = F.struct(
+        F.arrow_udf(_counted, "bigint")(text).alias("n_words"),
+        F.coalesce(hit["spans"], F.array().cast("array<bigint>")).alias("spans"),
+        F.coalesce(hit["items"], F.array().cast("array<string>")).alias("items"),
+    )
+    joined = docs.withColumn("__millrace_digest", digest).join(hits, "__millrace_digest", "left")
+    return joined.withColumn(column, whole).select(*docs.columns, column)
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, portion: int = PORTION) -> DataFrame:
