@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import atexit
 import gc
+import re
 import shutil
 import tempfile
 import time
@@ -27,10 +28,12 @@ WORDS_ONLY = bytes(
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or, where that is unset, one of our own."""
+    """The folder that driver and executors share: spark.checkpoint.dir, or, where that is unset and there is one machine, our own."""
     global _own_dir
     if path := spark.conf.get("spark.checkpoint.dir", None):
         return path.rstrip("/")
+    if not re.fullmatch(r"local(\[.*\])?", spark.conf.get("spark.master", "")):
+        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
     if _own_dir is None:
         _own_dir = tempfile.mkdtemp(prefix="millrace-")
         atexit.register(shutil.rmtree, _own_dir, True)
@@ -64,7 +67,7 @@ def as_bytes(column: pa.Array) -> list[bytes | None]:
 
 
 class WordHashes(dict):
-    """64-bit hash of a word's bytes, remembered; the memory is emptied when it holds `most` words."""
+    """64-bit hash of a word's bytes, remembered unless the word is long; the memory is emptied when it holds `most` words."""
 
     def __init__(self, most: int = 300_000):
         super().__init__()
@@ -72,6 +75,8 @@ class WordHashes(dict):
 
     def __missing__(self, word: bytes) -> int:
         value = xxhash.xxh3_64_intdigest(word)
+        if len(word) > 64:
+            return value
         if len(self) >= self.most:
             self.clear()
         self[word] = value

@@ -87,6 +87,15 @@ def test_near_duplicates(docs, texts, n):
     assert {r["doc_id"] for r in kept.collect()} == {i for i in want if want[i] == i} | {None}
 
 
+def test_blocks_of_many_small_sets(spark):
+    """Many small sets that are all a little alike: blocks are bounded by their number too."""
+    rows = [(i, f"thank you {i}") for i in range(2500)] + [(9000 + i, f"thank you {i} thank you") for i in range(3)]
+    got = near_duplicates.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 2)
+    assert got.where("not kept").count() == 0
+    nodes = spark.createDataFrame([(True, 1, i, bytes(8)) for i in range(2500)], "big boolean, root long, node long, shingles binary")
+    assert near_duplicates._blocks(nodes, "x").count() == 3
+
+
 def test_components(spark):
     edges = [(9, 8), (8, 7), (7, 1), (3, 4), (5, 5), (None, 2)] + [(i, i + 1) for i in range(20, 60)]
     got = {r["node"]: r["root"] for r in components.components(spark.createDataFrame(edges, "a long, b long")).collect()}
@@ -147,7 +156,7 @@ def test_window_hashes_tell_windows_apart():
         assert len(got) == len(want) and len(set(zip(got, want, strict=True))) == len(set(got)) == len(set(want))
 
 
-def test_decontamination(spark, docs, texts):
+def test_decontamination(spark, docs, texts, monkeypatch):
     def take(t):
         return decontamination.words_of((t or "").encode())
 
@@ -167,6 +176,14 @@ def test_decontamination(spark, docs, texts):
                         found |= {str(item)} - {"None"}
             want = (len(w), len(hit), len(found), hashlib.sha256(",".join(sorted(found)).encode()).hexdigest(), bool(hit) and 20 * len(hit) >= len(w))
             assert tuple(got[i])[1:] == want
+    built = []
+    monkeypatch.setattr(decontamination, "_searcher", lambda *a, real=decontamination._searcher: built.append(len(a[1])) or real(*a))
+    kept = decontamination.decontaminated(docs, bench, spans=True)
+    cut = {r["doc_id"]: r["text"] for r in kept.collect()}
+    for i, t in texts:
+        if not got[i]["contaminated"]:
+            assert (cut[i] == t) if not got[i]["n_hit"] else (len(take(cut[i])) == got[i]["n_words"] - got[i]["n_hit"])
+    assert len(built) == 1 and set(cut) == {i for i in got if not got[i]["contaminated"]}
     kept = decontamination.decontaminated(docs, bench)
     assert kept.columns == docs.columns
     assert {r["doc_id"] for r in kept.collect()} == {i for i in got if not got[i]["contaminated"]}
