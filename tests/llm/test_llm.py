@@ -203,12 +203,13 @@ def test_lines_across_components(spark, monkeypatch):
             lines.append("".join(x))
     docs = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
     found = []
-    for each in (line_dedup.EACH, 0):  # 0: pivots are drawn as long as they link anything
+    for each, few in ((line_dedup.EACH, 1), (0, 1), (0, 10**9)):  # 0: pivots are drawn first, as long as they link much or anything
         monkeypatch.setattr(line_dedup, "EACH", each)
+        monkeypatch.setattr(line_dedup, "FEW", few)
         found.append([r["text"] for r in line_dedup.deduplicated(docs).orderBy("doc_id").collect() if r["text"]])
     # bands may miss a pair at the limit: what is joined is joined in the brute force, and hardly anything more is there
     want = kept_lines(lines)
-    assert found[0] == found[1] and {*want} <= {*found[0]} and len(found[0]) <= len(want) + 2
+    assert found[0] == found[1] == found[2] and {*want} <= {*found[0]} and len(found[0]) <= len(want) + 2
 
 
 def test_line_sets():
