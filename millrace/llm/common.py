@@ -115,6 +115,25 @@ def window_hashes(words: np.ndarray, n: int) -> np.ndarray:
         size *= 2
 
 
+def shared_counts(x: np.ndarray, x_of: np.ndarray, n: int, y: np.ndarray, y_of: np.ndarray, m: int) -> np.ndarray:
+    """(n, m) sizes of the intersections of n sets with m others, as products of incidence matrices.
+
+    x and y hold the hashes of all sets of a side, x_of and y_of the number of each one's set."""
+    both = np.intersect1d(np.unique(x), np.unique(y), assume_unique=True)
+    out = np.zeros((n, m))
+    for i in range(0, len(both), 8192):
+        some = both[i : i + 8192]
+        sides = []
+        for flat, owner, size in ((x, x_of, n), (y, y_of, m)):
+            at = np.minimum(np.searchsorted(some, flat), len(some) - 1)
+            hit = some[at] == flat
+            side = np.zeros((size, len(some)), np.float32)
+            side[owner[hit], at[hit]] = 1
+            sides.append(side)
+        out += sides[0] @ sides[1].T
+    return out
+
+
 def rows_of(batches: Iterator[pa.RecordBatch], most_bytes: int = 16 << 20) -> Iterator[pa.RecordBatch]:
     """The batches, cut into pieces of about most_bytes (one row at least), so that long texts don't pile up."""
     for batch in batches:

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER_ASCII, WordHashes, as_bytes, mixed, rows_of, stored, window_hashes
+from .common import LOWER_ASCII, WordHashes, as_bytes, mixed, rows_of, shared_counts, stored, window_hashes
 from .components import components
 
 SIDE, ROWS = 10, 3
@@ -150,21 +150,10 @@ def _blocks(rows: DataFrame, name: str) -> DataFrame:
 
 
 def _common(x: list[np.ndarray], y: list[np.ndarray]) -> np.ndarray:
-    """The sizes of the intersections of the sets of x with those of y, as a product of incidence matrices."""
-    both = np.intersect1d(np.unique(np.concatenate(x)), np.unique(np.concatenate(y)), assume_unique=True)
-    out = np.zeros((len(x), len(y)), np.float32)
-    for i in range(0, len(both), 8192):
-        some = both[i : i + 8192]
-        sides = []
-        for sets in (x, y):
-            flat, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), [len(s) for s in sets])
-            at = np.minimum(np.searchsorted(some, flat), len(some) - 1)
-            hit = some[at] == flat
-            side = np.zeros((len(sets), len(some)), np.float32)
-            side[owner[hit], at[hit]] = 1
-            sides.append(side)
-        out += sides[0] @ sides[1].T
-    return out
+    """The sizes of the intersections of the sets of x with those of y."""
+    flat = [np.concatenate(sets) for sets in (x, y)]
+    owners = [np.repeat(np.arange(len(sets)), [len(s) for s in sets]) for sets in (x, y)]
+    return shared_counts(flat[0], owners[0], len(x), flat[1], owners[1], len(y))
 
 
 def _linked_across(members: DataFrame, roots: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
