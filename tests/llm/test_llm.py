@@ -225,6 +225,20 @@ def test_line_sets():
     assert keys.shape == (len(lines), line_dedup.BANDS) and (keys[4] == keys[5]).all()
 
 
+def test_forest_of_blocks():
+    """The links of two blocks join what all similar pairs would join, and none is more than needed."""
+    own = random.Random(7)
+    base = ["".join(own.choice("abcdefgh ") for _ in range(120)) for _ in range(4)]
+    lines = ["", "abc", "ABC", *(b[:at] + "#" + b[at + 1 :] for b in base for at in (own.randrange(120) for _ in range(12)))]
+    root = {k: k // 3 * 3 for k in range(len(lines))}
+    x, y = ([{"k": k, "root": root[k], "line": lines[k]} for k in ks] for ks in (range(0, len(lines), 2), range(len(lines))))
+    same = [(a["root"], b["root"]) for a in x for b in y if 100 * len(every_set(a["line"]) & every_set(b["line"])) >= 80 * len(every_set(a["line"]) | every_set(b["line"]))]
+    made = [(root[a], root[b]) for a, b in line_dedup.forest(x, y, 80)]
+    want = roots(sorted({*root.values()}), same)
+    assert roots(sorted({*root.values()}), made) == want
+    assert len(made) == len({*root.values()}) - len({*want.values()}) and made
+
+
 def test_line_dedup(spark):
     long = " ".join(words(40))
     near = long.rsplit(" ", 1)[0] + " other"
