@@ -6,6 +6,11 @@ around a run that is repeated between documents are extended to the next level,
 window is reached. Below the window not every run is needed: each window holds a run with the smallest hash of its runs, the
 same one wherever the window stands, so only these are counted.
 
+Beside its runs, the first level counts a text's chunks: a chunk is a row of windows up to the next run whose hash is divisible by
+CHUNK, and is told apart by 128 bits of all its words. The windows of a chunk that is in a document with a smaller doc_id are all
+removed, and needn't be told one by one: the smallest document that holds a window holds it in a chunk that no smaller one holds, so
+it still stands for that window. Long copies therefore make few rows at the levels above.
+
 A run's hash can be that of another run too, which makes more candidates and loses none. At the last level a second, independent
 hash of the window's bytes goes with the first, so that windows are told apart by 128 bits.
 
@@ -33,6 +38,8 @@ from .common import SplitHashes, as_bytes, rows_of, stored, window_hashes
 WINDOW = 13
 #: The least length of the first level: shorter runs are so frequent that they rule hardly anything out.
 FIRST = 7
+#: Windows of a chunk, on average.
+CHUNK = 16
 
 
 def levels(window: int) -> list[int]:
@@ -65,12 +72,32 @@ class Windows:
             return np.empty(0, np.uint64)
         return least_in_windows(window_hashes(h, length), self.window - length + 1)
 
+    def chunks(self, h: np.ndarray, words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(starts, ends, digests): the rows of windows that make the chunks, and 128 bits of each one's words, as two signed integers."""
+        n = len(words) - self.window + 1
+        cuts = np.flatnonzero(window_hashes(h, levels(self.window)[0])[1:n] % np.uint64(CHUNK) == 0) + 1
+        starts, ends = np.concatenate(([0], cuts)), np.concatenate((cuts, [n]))
+        joined = (b" ".join(words[i : j + self.window - 1]) for i, j in zip(starts.tolist(), ends.tolist(), strict=True))
+        digests = np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, joined)), np.int64).reshape(-1, 2).copy()
+        digests[digests[:, 1] == 0, 1] = 1  # 0 marks the runs
+        return starts, ends, digests
+
+    def outside(self, h: np.ndarray, words: list[bytes], known: set[tuple[int, int]]) -> np.ndarray:
+        """Which windows are in no chunk with a known digest."""
+        starts, ends, digests = self.chunks(h, words)
+        free = np.fromiter((tuple(d) not in known for d in digests.tolist()), bool, len(digests))
+        return np.repeat(free, ends - starts)
+
     def checks(self, words: list[bytes], starts: np.ndarray) -> list[int]:
         """Another hash of the windows at these places, as a signed integer."""
         joined = (b" ".join(words[i : i + self.window]) for i in starts.tolist())
         return [x - (x >> 63 << 64) for x in map(xxhash.xxh3_64_intdigest, joined)]
 
 
+def _pairs(known: pa.StructArray) -> set[tuple[int, int]]:
+    return {*zip(known.field("hash").to_pylist(), known.field("check").to_pylist(), strict=True)}
+
+
 def _distinct(values: np.ndarray) -> np.ndarray:
     if len(values) > 1:
         values = values[np.concatenate(([True], values[1:] != values[:-1]))]
@@ -84,70 +111,89 @@ def _among(values: np.ndarray, known: np.ndarray) -> np.ndarray:
 
 
 def _runs(texts: DataFrame, window: int, before: int | None, length: int) -> DataFrame:
-    """(hash, check, doc_id): the distinct runs of that length that stand for a document's windows, check being 0 below the window.
+    """(hash, check, doc_id): the distinct runs of that length that stand for a document's windows, check being 0 below the window,
+    and, at the first level, its chunks.
 
-    before: the length of the level before; texts then has the hashes that are repeated there, and only windows around these count."""
+    before: the length of the level before; texts then has the hashes that are repeated there, and only windows around these count
+    that are in none of the chunks of an earlier document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         windows = Windows(window)
         for batch in rows_of(batches):
             docs, found, checks = [], [], []
-            known = batch.column(2) if before else [None] * batch.num_rows
-            for doc, raw, mine in zip(batch.column(0).to_pylist(), as_bytes(batch.column(1)), known, strict=True):
+            known, held = (batch.column(2), batch.column(3)) if before else ([None] * batch.num_rows,) * 2
+            for doc, raw, mine, own in zip(batch.column(0).to_pylist(), as_bytes(batch.column(1)), known, held, strict=True):
                 h = windows.hashes.of(raw)
                 if doc is None or len(h) < window:
                     continue
-                runs, at = windows.runs(h, length), None
+                runs, at, words = windows.runs(h, length), None, None
                 if before:
-                    at = np.flatnonzero(_among(windows.runs(h, before), mine.values.to_numpy()))
+                    wanted = _among(windows.runs(h, before), mine.values.to_numpy())
+                    if own.is_valid and len(own.values):
+                        words = raw.split()
+                        wanted &= windows.outside(h, words, _pairs(own.values))
+                    at = np.flatnonzero(wanted)
                     runs = runs[at]
                 if length < window:
-                    runs = _distinct(runs)
+                    runs = _distinct(runs).view(np.int64)
                     checks.append(np.zeros(len(runs), np.int64))
+                    if not before:
+                        digests = np.unique(windows.chunks(h, raw.split())[2], axis=0)
+                        runs = np.concatenate((runs, digests[:, 0]))
+                        checks.append(digests[:, 1])
                 else:
                     at = np.arange(len(runs)) if at is None else at
-                    pairs = np.array(list({*zip(runs.view(np.int64).tolist(), windows.checks(raw.split(), at), strict=True)}), np.int64).reshape(-1, 2)
+                    told = zip(runs.view(np.int64).tolist(), windows.checks(words or raw.split(), at), strict=True)
+                    pairs = np.array(list({*told}), np.int64).reshape(-1, 2)
                     runs = pairs[:, 0]
                     checks.append(pairs[:, 1])
                 docs.append(doc)
-                found.append(runs.view(np.int64))
+                found.append(runs)
             n = [len(x) for x in found]
             flat, other = (np.concatenate([np.empty(0, np.int64), *x]) for x in (found, checks))
             yield pa.record_batch({"hash": pa.array(flat), "check": pa.array(other), "doc_id": pa.array(np.repeat(np.array(docs, np.int64), n))})
 
-    return texts.select("doc_id", "text", *(["hashes"] if before else [])).mapInArrow(run, "hash long, check long, doc_id long")
+    return texts.select("doc_id", "text", *(["hashes", "chunks"] if before else [])).mapInArrow(run, "hash long, check long, doc_id long")
 
 
 def repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
-    """(doc_id, windows): of each document, the hash and check of its windows that also start in one with a smaller doc_id."""
+    """(doc_id, windows): of each document, the hash and check of its windows, and of its chunks, that also start in one with a
+    smaller doc_id; the windows of these chunks aren't there again."""
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    around, before = texts, None
+    around, before, chunks, pair = texts, None, None, F.struct("hash", "check")
     for length in levels(window):
         runs = _runs(around, window, before, length)
-        keys = ["hash"] if length < window else ["hash", "check"]
-        low = runs.groupBy(*keys).agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high").drop("high")
+        low = runs.groupBy("hash", "check").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high").drop("high")
+        found = runs.join(low, ["hash", "check"])
         if length == window:
+            found = found.where("low < doc_id").select("doc_id", "hash", "check")
             break
-        repeated = runs.select("hash", "doc_id").join(low.select("hash"), "hash").groupBy("doc_id").agg(F.collect_list("hash").alias("hashes"))
-        repeated = stored(repeated, "runs", release=True)
+        # collect_list leaves nulls out
+        lists = F.collect_list(F.when(F.col("check") == 0, F.col("hash"))).alias("hashes"), F.collect_list(F.when(F.col("check") != 0, pair)).alias("chunks")
+        repeated = stored(found.where("check = 0 or low < doc_id").groupBy("doc_id").agg(*lists), "runs", release=True)
+        if before is None:
+            chunks = repeated.select("doc_id", "chunks")
+        else:
+            repeated = repeated.drop("chunks").join(chunks, "doc_id", "left")
         if repeated.isEmpty():
-            return docs.sparkSession.createDataFrame([], "doc_id long, windows array<struct<hash: bigint, check: bigint>>")
+            found = None
+            break
         around, before = texts.join(repeated, "doc_id"), length
-    found = runs.join(low, keys).where("low < doc_id")
-    return stored(found.groupBy("doc_id").agg(F.collect_list(F.struct("hash", "check")).alias("windows")), "windows", release=True)
+    parts = ([found] if found is not None else []) + ([chunks.select("doc_id", F.inline("chunks"))] if chunks is not None else [])
+    every = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    return stored(every.groupBy("doc_id").agg(F.collect_list(pair).alias("windows")), "windows", release=True)
 
 
 def _kept(windows: Windows, raw: bytes, known: pa.StructArray) -> list[bytes]:
-    """The words of a text that none of the known windows covers."""
-    words, runs = raw.split(), windows.runs(windows.hashes.of(raw), windows.window)
-    hashes, checks = (known.field(c).to_numpy() for c in ("hash", "check"))
-    starts = np.flatnonzero(_among(runs, hashes))
-    pairs = {*zip(hashes.tolist(), checks.tolist(), strict=True)}
+    """The words of a text that none of the known windows and chunks covers."""
+    words, h, pairs = raw.split(), windows.hashes.of(raw), _pairs(known)
+    runs, gone = windows.runs(h, windows.window), ~windows.outside(h, words, pairs)
+    starts = np.flatnonzero(_among(runs, known.field("hash").to_numpy()) & ~gone)
     mine = zip(runs[starts].view(np.int64).tolist(), windows.checks(words, starts), strict=True)
-    starts = starts[np.fromiter((p in pairs for p in mine), bool, len(starts))]
-    steps = np.zeros(len(words) + 1, np.int32)
-    np.add.at(steps, starts, 1)
-    np.add.at(steps, starts + windows.window, -1)
+    gone[starts[np.fromiter((p in pairs for p in mine), bool, len(starts))]] = True
+    starts, steps = np.flatnonzero(gone), np.zeros(len(words) + 1, np.int32)
+    steps[starts] += 1
+    steps[starts + windows.window] -= 1
     return [w for w, c in zip(words, np.cumsum(steps[:-1]).tolist(), strict=True) if not c]
 
 
