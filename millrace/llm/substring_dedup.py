@@ -40,6 +40,8 @@ WINDOW = 13
 FIRST = 7
 #: Windows of a chunk, on average.
 CHUNK = 16
+#: The check of a run; no chunk has it.
+_RUN = bytes(8)
 
 
 def levels(window: int) -> list[int]:
@@ -65,37 +67,51 @@ class Windows:
     def __init__(self, window: int = WINDOW):
         self.window = window
         self.hashes = SplitHashes()
+        self.first, self._of, self._firsts = levels(window)[0], None, None
+
+    def firsts(self, h: np.ndarray) -> np.ndarray:
+        """The hashes of all runs of the first level's length; those of the last text are remembered."""
+        if self._of is not h:
+            self._of, self._firsts = h, window_hashes(h, self.first)
+        return self._firsts
 
     def runs(self, h: np.ndarray, length: int) -> np.ndarray:
         """The least hash of each window's runs of that length, of the hashes of the words; none for short texts."""
         if len(h) < self.window:
             return np.empty(0, np.uint64)
-        return least_in_windows(window_hashes(h, length), self.window - length + 1)
+        hashes = self.firsts(h) if length == self.first else window_hashes(h, length)
+        return least_in_windows(hashes, self.window - length + 1)
 
-    def chunks(self, h: np.ndarray, words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(starts, ends, digests): the rows of windows that make the chunks, and 128 bits of each one's words, as two signed integers."""
+    def chunks(self, h: np.ndarray, words: list[bytes]) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+        """(starts, ends, digests): the rows of windows that make the chunks, and 128 bits of each one's words."""
         n = len(words) - self.window + 1
-        cuts = np.flatnonzero(window_hashes(h, levels(self.window)[0])[1:n] % np.uint64(CHUNK) == 0) + 1
+        cuts = np.flatnonzero(self.firsts(h)[1:n] % np.uint64(CHUNK) == 0) + 1
         starts, ends = np.concatenate(([0], cuts)), np.concatenate((cuts, [n]))
-        joined = (b" ".join(words[i : j + self.window - 1]) for i, j in zip(starts.tolist(), ends.tolist(), strict=True))
-        digests = np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, joined)), np.int64).reshape(-1, 2).copy()
-        digests[digests[:, 1] == 0, 1] = 1  # 0 marks the runs
-        return starts, ends, digests
+        more = self.window - 1
+        digests = [xxhash.xxh3_128_digest(b" ".join(words[i : j + more])) for i, j in zip(starts.tolist(), ends.tolist(), strict=True)]
+        return starts, ends, [d if d[8:] != _RUN else d[:15] + b"\1" for d in digests]
 
-    def outside(self, h: np.ndarray, words: list[bytes], known: set[tuple[int, int]]) -> np.ndarray:
+    def outside(self, h: np.ndarray, words: list[bytes], known: set[bytes]) -> np.ndarray:
         """Which windows are in no chunk with a known digest."""
         starts, ends, digests = self.chunks(h, words)
-        free = np.fromiter((tuple(d) not in known for d in digests.tolist()), bool, len(digests))
+        free = np.fromiter((d not in known for d in digests), bool, len(digests))
         return np.repeat(free, ends - starts)
 
-    def checks(self, words: list[bytes], starts: np.ndarray) -> list[int]:
-        """Another hash of the windows at these places, as a signed integer."""
-        joined = (b" ".join(words[i : i + self.window]) for i in starts.tolist())
-        return [x - (x >> 63 << 64) for x in map(xxhash.xxh3_64_intdigest, joined)]
+    def told(self, runs: np.ndarray, words: list[bytes], starts: np.ndarray) -> list[bytes]:
+        """The hashes of the windows at these places, each with another hash of its words."""
+        more, first = self.window, runs.tobytes()
+        return [first[8 * n : 8 * n + 8] + xxhash.xxh3_64_digest(b" ".join(words[i : i + more])) for n, i in enumerate(starts.tolist())]
+
+
+def _keys(known: pa.StructArray) -> set[bytes]:
+    """The 16 bytes of each hash and check."""
+    flat = np.stack([known.field(c).to_numpy() for c in ("hash", "check")], axis=1).tobytes()
+    return {flat[i : i + 16] for i in range(0, len(flat), 16)}
 
 
-def _pairs(known: pa.StructArray) -> set[tuple[int, int]]:
-    return {*zip(known.field("hash").to_pylist(), known.field("check").to_pylist(), strict=True)}
+def _columns(keys: set[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """The hashes and checks of these bytes, as signed integers."""
+    return tuple(np.frombuffer(b"".join(keys), np.int64).reshape(-1, 2).T)
 
 
 def _distinct(values: np.ndarray) -> np.ndarray:
@@ -131,22 +147,20 @@ def _runs(texts: DataFrame, window: int, before: int | None, length: int) -> Dat
                     wanted = _among(windows.runs(h, before), mine.values.to_numpy())
                     if own.is_valid and len(own.values):
                         words = raw.split()
-                        wanted &= windows.outside(h, words, _pairs(own.values))
+                        wanted &= windows.outside(h, words, _keys(own.values))
                     at = np.flatnonzero(wanted)
                     runs = runs[at]
                 if length < window:
                     runs = _distinct(runs).view(np.int64)
                     checks.append(np.zeros(len(runs), np.int64))
                     if not before:
-                        digests = np.unique(windows.chunks(h, raw.split())[2], axis=0)
-                        runs = np.concatenate((runs, digests[:, 0]))
-                        checks.append(digests[:, 1])
+                        first, check = _columns(set(windows.chunks(h, raw.split())[2]))
+                        runs = np.concatenate((runs, first))
+                        checks.append(check)
                 else:
                     at = np.arange(len(runs)) if at is None else at
-                    told = zip(runs.view(np.int64).tolist(), windows.checks(words or raw.split(), at), strict=True)
-                    pairs = np.array(list({*told}), np.int64).reshape(-1, 2)
-                    runs = pairs[:, 0]
-                    checks.append(pairs[:, 1])
+                    runs, check = _columns(set(windows.told(runs, words or raw.split(), at)))
+                    checks.append(check)
                 docs.append(doc)
                 found.append(runs)
             n = [len(x) for x in found]
@@ -186,11 +200,10 @@ def repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
 
 def _kept(windows: Windows, raw: bytes, known: pa.StructArray) -> list[bytes]:
     """The words of a text that none of the known windows and chunks covers."""
-    words, h, pairs = raw.split(), windows.hashes.of(raw), _pairs(known)
-    runs, gone = windows.runs(h, windows.window), ~windows.outside(h, words, pairs)
+    words, h, keys = raw.split(), windows.hashes.of(raw), _keys(known)
+    runs, gone = windows.runs(h, windows.window), ~windows.outside(h, words, keys)
     starts = np.flatnonzero(_among(runs, known.field("hash").to_numpy()) & ~gone)
-    mine = zip(runs[starts].view(np.int64).tolist(), windows.checks(words, starts), strict=True)
-    gone[starts[np.fromiter((p in pairs for p in mine), bool, len(starts))]] = True
+    gone[starts] = np.fromiter((k in keys for k in windows.told(runs[starts], words, starts)), bool, len(starts))
     starts, steps = np.flatnonzero(gone), np.zeros(len(words) + 1, np.int32)
     steps[starts] += 1
     steps[starts + windows.window] -= 1

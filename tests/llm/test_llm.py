@@ -147,6 +147,28 @@ def test_substring_levels(spark, monkeypatch):
     assert [r["n_removed"] for r in substring_dedup.without_repeats(same).orderBy("doc_id").collect()] == [0, 0, 13]
 
 
+def test_substring_chunks(spark):
+    """Windows of long copies are told by chunks, whichever document holds them first; the rest one by one."""
+    own = random.Random(9)
+    some = lambda n: [f"u{own.randrange(10**9)}" for _ in range(n)]
+    a, b = some(300), some(200)
+    c = [*a[:90], "new", *a[91:]]  # a near copy
+    texts = [(7, a), (2, a + b), (9, c), (4, b[60:] + some(30)), (11, a), (12, c), (13, b + c + b), (14, a[:12]), (15, ["z"] * 400), (16, ["z"] * 90), (17, a[5:60])]
+    for window in (3, 13, 60):
+        starts = {}
+        for i, w in texts:
+            for j in range(len(w) - window + 1):
+                starts.setdefault(tuple(w[j : j + window]), set()).add(i)
+        docs = spark.createDataFrame([(i, " ".join(w)) for i, w in texts], "doc_id long, text string").repartition(2)
+        got = {r["doc_id"]: r for r in substring_dedup.without_repeats(docs, window).collect()}
+        for i, w in texts:
+            gone = {k for j in range(len(w) - window + 1) if min(starts[tuple(w[j : j + window])]) < i for k in range(j, j + window)}
+            kept = " ".join(x for k, x in enumerate(w) if k not in gone)
+            assert (got[i]["n_removed"], got[i]["kept_sha256"]) == (len(gone), hashlib.sha256(kept.encode()).hexdigest())
+    found = {r["doc_id"]: len(r["windows"]) for r in substring_dedup.repeats(docs.where("doc_id in (2, 11)"), 13).collect()}
+    assert set(found) == {11} and found[11] < 60  # of 288 windows
+
+
 def test_window_hashes_tell_windows_apart():
     h = SplitHashes()
     for n in (1, 2, 5, 7, 13):
