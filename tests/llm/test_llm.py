@@ -247,6 +247,28 @@ def test_line_sets():
     assert keys.shape == (len(lines), line_dedup.BANDS) and (keys[4] == keys[5]).all()
 
 
+def test_short_lines_meet():
+    draw, meet = np.random.default_rng(3), []
+    for _ in range(600):  # of 11 shingles 9 are common to both
+        own = draw.permutation(np.arange(0x4E00, 0x4E00 + 20_000))[:14]
+        line = "".join(map(chr, own))
+        other = line[:-1] + chr(0x9000)
+        _, x = line_dedup.keys_of([line])
+        _, y = line_dedup.keys_of([other])
+        meet.append(len(np.intersect1d(x >> line_dedup.PAYLOAD, y >> line_dedup.PAYLOAD)) > 0)
+    assert np.mean(meet) > 0.98
+
+
+def test_groups_of_bands():
+    low = [0x111111, 0x111222, 0x222222, 0x111111, 0x333333, 0x111111, 0x444444]
+    bands = np.array([(g << line_dedup.PAYLOAD) | p for g, p in zip([-5, -5, -5, 3, 3, 9, 9], low)], np.int64)
+    k, band, least, most = line_dedup.groups(bands, np.array([7, 4, 9, 1, 2, 6, 6]))
+    assert sorted(zip(k.tolist(), least.tolist(), most.tolist())) == [(4, 4, 9), (7, 4, 9), (9, 4, 9)] and len({*band.tolist()}) == 1
+    many = np.full(line_dedup.SCREENED + 1, 8 << line_dedup.PAYLOAD, np.int64) | (np.arange(line_dedup.SCREENED + 1) * 0x111111 % (1 << line_dedup.PAYLOAD))
+    k, _, least, most = line_dedup.groups(many, np.arange(line_dedup.SCREENED + 1))
+    assert len(k) == line_dedup.SCREENED + 1 and {*least.tolist()} == {0} and {*most.tolist()} == {line_dedup.SCREENED}
+
+
 def test_forest_of_blocks():
     """The links of two blocks join what all similar pairs would join, and none is more than needed."""
     own = random.Random(7)
