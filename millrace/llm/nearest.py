@@ -4,8 +4,9 @@ A bounded sample fits coarse centres and, on the residuals, sixteen centres for
 centres moved under the anisotropic loss: the part of the error along the vector, which changes large inner products, counts
 `eta` times the part across it. Every distinct vector is indexed: its cell and four-bit codes. A query looks into the cells
 whose centres have the largest inner products with it, scans their codes by table look-up, and re-ranks the best exactly in
-double precision. Cells and their queries are packed in blocks of bounded size; each block of vectors is a key of its own in
-their join, so that a hot cell is many tasks. Equal vectors are one entry with their smallest ids, as many as a result can show.
+double precision. The vectors are dealt to LANES lanes by their hash, whatever their cell; a task holds a bounded group of queries
+against one lane, block after block, and gives k rows a query at the end. So rows out grow with the queries alone; each group of
+queries reads all vectors. Equal vectors are one entry with their smallest ids, as many as a result can show.
 
 Defined results: vectors that are null, empty, zero, or hold null or non-finite components take no part, neither do those
 whose length isn't the most frequent one (the smaller of two as frequent) or whose id is null; a repeated id is listed once
@@ -26,8 +27,10 @@ from pyspark.sql.window import Window
 from .common import stored
 
 SAMPLE = 16_384
-#: Rows of a block of vectors, and of queries.
+#: Vectors of a block, and queries that are held against it at once.
 ROWS, QUERIES = 4096, 256
+#: Parts of the vectors, and queries that a task holds about.
+LANES, GROUP = 8, 8192
 #: Vectors of a block that are re-ranked at least.
 LEAST = 160
 
@@ -127,17 +130,6 @@ def vectors(embeddings: DataFrame, id_col: str = "vec_id", column: str = "embedd
     return rows.where(F.size("v") == (length[0]["n"] if length else 0))
 
 
-def _parts(rows: DataFrame, most: int) -> DataFrame:
-    """(cell, parts): the blocks of about `most` rows that each cell makes."""
-    return rows.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / most).alias("parts"))
-
-
-def _blocks(rows: DataFrame, parts: DataFrame, entry: list[str], name: str) -> DataFrame:
-    """(cell, part, name): rows with a cell, packed to blocks."""
-    dealt = rows.join(parts, "cell").withColumn("part", F.pmod(F.xxhash64(entry[0]), "parts"))
-    return dealt.groupBy("cell", "part").agg(F.collect_list(F.struct(*entry)).alias(name))
-
-
 def nearest(embeddings: DataFrame, every: int = 20, k: int = 20, probes: float = 0.9, scanned: float = 0.2, per_cell: int = 2000, most_cells: int = 256) -> DataFrame:
     """(query_id, rank, vec_id, score): the k nearest found of each row whose id is divisible by `every`, itself left out.
 
@@ -166,51 +158,85 @@ def nearest(embeddings: DataFrame, every: int = 20, k: int = 20, probes: float =
 
     indexed = entries.mapInArrow(index, "v array<double>, ids array<long>, h long, cell int, codes binary")
 
-    def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                q = np.stack(batch.column(1).to_numpy(zero_copy_only=False))
-                cells = np.argsort(-(q @ made.cells.T), axis=1, kind="stable")[:, :n_probes]
-                at = pa.array(np.repeat(np.arange(len(q)), n_probes))
-                yield pa.record_batch({"query_id": batch.column(0).take(at), "v": batch.column(1).take(at), "cell": pa.array(cells.ravel(), pa.int32())})
-
-    asked = rows.where(F.col("vec_id") % every == 0).distinct().mapInArrow(probe, "query_id long, v array<double>, cell int")
-
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task, held = None, None
         for batch in batches:
-            ids_out, found_out, score_out = [], [], []
-            for i in range(batch.num_rows):
-                here, there = batch.column(1)[i].values, batch.column(2)[i].values
-                x = np.stack(here.field("v").to_numpy(zero_copy_only=False))
-                q = np.stack(there.field("v").to_numpy(zero_copy_only=False))
-                ids, asking = here.field("ids").to_pylist(), there.field("query_id").to_pylist()
-                packed = np.frombuffer(b"".join(here.field("codes").to_pylist()), np.uint8).reshape(len(x), -1)
-                codes = np.stack([packed >> 4, packed & 15], 2).reshape(len(x), -1)[:, : made.groups]
-                tables = made.tables(q)
-                rough = np.zeros((len(q), len(x)), np.float32)
-                for g in range(made.groups):
-                    rough += tables[:, g].astype(np.float32)[:, codes[:, g]]
-                most = min(len(x), max(LEAST, k, int(np.ceil(scanned * len(x)))))
-                best = np.argpartition(-rough, most - 1, axis=1)[:, :most] if most < len(x) else np.tile(np.arange(len(x)), (len(q), 1))
-                for j, me in enumerate(asking):
-                    exact = (x[best[j]] * q[j]).sum(1)
-                    found: list[tuple[float, int]] = []
-                    for o in np.argsort(-exact, kind="stable").tolist():
-                        if len(found) >= k and exact[o] < found[k - 1][0]:
-                            break
-                        found += [(float(exact[o]), v) for v in ids[best[j, o]] if v != me]
-                    found = sorted(found, key=lambda e: (-e[0], e[1]))[:k]
-                    ids_out += [me] * len(found)
-                    found_out += [v for _, v in found]
-                    score_out += [s for s, _ in found]
-            yield pa.record_batch({"query_id": pa.array(ids_out, pa.int64()), "vec_id": pa.array(found_out, pa.int64()), "score": pa.array(score_out, pa.float64())})
-
-    # a cell's blocks of vectors lie apart, and its queries go to each of them
-    parts = _parts(indexed, ROWS)
-    there = _blocks(asked, _parts(asked, QUERIES), ["query_id", "v"], "q").select("cell", "q").join(parts, "cell")
-    there = there.select("cell", "q", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"))
-    found = _blocks(indexed, parts, ["h", "v", "ids", "codes"], "x").join(there, ["cell", "part"]).select("cell", "x", "q")
-    found = found.mapInArrow(scan, "query_id long, vec_id long, score double")
-    # the best of each task are found before anything is shuffled
+            group, lane, kind = (batch.column(i).to_numpy() for i in range(3))
+            cuts = np.flatnonzero((np.diff(group) != 0) | (np.diff(lane) != 0) | (np.diff(kind) != 0)) + 1
+            for i, end in zip([0, *cuts.tolist()], [*cuts.tolist(), batch.num_rows]):
+                if i == end:
+                    continue
+                if task != (group[i], lane[i]):
+                    if held is not None:
+                        yield held.rows()
+                    task, held = (group[i], lane[i]), _Held(made, n_probes, k, scanned)
+                for j in range(i, end, ROWS):
+                    part = batch.slice(j, min(ROWS, end - j))
+                    x, ids = np.stack(part.column(4).to_numpy(zero_copy_only=False)), part.column(5).to_pylist()
+                    if kind[i] == 0:
+                        held.ask(x, [e[0] for e in ids])
+                    else:
+                        held.scan(x, ids, part.column(3).to_numpy(), part.column(6).to_pylist())
+        if held is not None:
+            yield held.rows()
+
+    asking = rows.where(F.col("vec_id") % every == 0).distinct()
+    n_groups = max(1, -(-asking.count() // GROUP))
+    numbers = lambda most: F.explode(F.sequence(F.lit(0), F.lit(most - 1)))
+    asked = asking.select(
+        F.pmod(F.xxhash64("vec_id", "v"), F.lit(n_groups)).cast("int").alias("group"), numbers(LANES).alias("lane"), F.lit(0).alias("kind"),
+        F.lit(0).alias("cell"), "v", F.array("vec_id").alias("ids"), F.lit(b"").alias("codes"),
+    )
+    there = indexed.select(numbers(n_groups).alias("group"), F.pmod("h", F.lit(LANES)).cast("int").alias("lane"), F.lit(1).alias("kind"), "cell", "v", "ids", "codes")
+    # a task reads its queries first, then its vectors
+    dealt = asked.unionByName(there).repartition("group", "lane").sortWithinPartitions("group", "lane", "kind")
+    found = dealt.mapInArrow(scan, "query_id long, vec_id long, score double")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+
+
+class _Held:
+    """Queries, and the k nearest of each among the vectors that they were held against."""
+
+    def __init__(self, made: Quantiser, n_probes: int, k: int, scanned: float):
+        self.made, self.n_probes, self.k, self.scanned = made, n_probes, k, scanned
+        self.asking: list[tuple] = []
+        self.ids: list[int] = []
+        self.best: list[list[tuple[float, int]]] = []
+
+    def ask(self, q: np.ndarray, ids: list[int]) -> None:
+        for i in range(0, len(q), QUERIES):
+            some = q[i : i + QUERIES]
+            centre = some @ self.made.cells.T
+            unseen = np.argsort(-centre, axis=1, kind="stable")[:, self.n_probes :]
+            np.put_along_axis(centre, unseen, -np.inf, 1)
+            self.asking.append((len(self.ids) + i, some, centre.astype(np.float32), self.made.tables(some).astype(np.float32)))
+        self.ids += ids
+        self.best += [[] for _ in ids]
+
+    def scan(self, x: np.ndarray, ids: list[list[int]], cell: np.ndarray, packed: list[bytes]) -> None:
+        k = self.k
+        nibbles = np.frombuffer(b"".join(packed), np.uint8).reshape(len(x), -1)
+        codes = np.stack([nibbles >> 4, nibbles & 15], 2).reshape(len(x), -1)[:, : self.made.groups]
+        most = min(len(x), max(LEAST, k, int(np.ceil(self.scanned * len(x)))))
+        for start, q, centre, tables in self.asking:
+            rough = centre[:, cell]
+            for g in range(self.made.groups):
+                rough += tables[:, g][:, codes[:, g]]
+            best = np.argpartition(-rough, most - 1, axis=1)[:, :most] if most < len(x) else np.tile(np.arange(len(x)), (len(q), 1))
+            for j in range(len(q)):
+                mine = best[j][rough[j, best[j]] > -np.inf]  # of the cells that the query looks into
+                exact = (x[mine] * q[j]).sum(1)
+                me, found, had = self.ids[start + j], [], self.best[start + j]
+                least = had[k - 1][0] if len(had) == k else -np.inf
+                for o in np.argsort(-exact, kind="stable").tolist():
+                    if exact[o] < least or (len(found) >= k and exact[o] < found[k - 1][0]):
+                        break
+                    found += [(float(exact[o]), v) for v in ids[mine[o]] if v != me]
+                if found:
+                    self.best[start + j] = sorted(had + found, key=lambda e: (-e[0], e[1]))[:k]
+
+    def rows(self) -> pa.RecordBatch:
+        n = [len(e) for e in self.best]
+        score, ids = zip(*(e for best in self.best for e in best)) if sum(n) else ((), ())
+        return pa.record_batch({"query_id": pa.array(np.repeat(np.array(self.ids, np.int64), n)), "vec_id": pa.array(ids, pa.int64()), "score": pa.array(score, pa.float64())})

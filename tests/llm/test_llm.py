@@ -502,6 +502,19 @@ def test_nearest(spark):
     assert few == {(0, 7), (0, 20), (20, 0), (20, 7)}
 
 
+def test_rows_of_nearest():
+    held = nearest._Held(nearest.fit(np.random.default_rng(1).normal(size=(300, 8)), 4), 4, 20, 0.2)
+    q, x = np.random.default_rng(2).normal(size=(5, 8)), np.random.default_rng(3).normal(size=(300, 8))
+    held.ask(q, [1000, 1001, 1002, 1003, 1004])
+    cell = held.made.cell_of(x)
+    codes = held.made.encode(x, cell)
+    for i in range(0, 300, 50):  # six blocks: still k rows a query
+        held.scan(x[i : i + 50], [[j] for j in range(i, i + 50)], cell[i : i + 50], [c.tobytes() for c in (codes[i : i + 50, ::2] << 4 | codes[i : i + 50, 1::2])])
+    found = held.rows().column(1).to_numpy().reshape(5, 20)
+    assert (found == np.argsort(-(q @ x.T), axis=1)[:, :20]).all()
+
+
+
 @pytest.mark.parametrize(("n", "most_cells"), [(500, 256), (2000, 256), (4000, 256), (20000, 256)])
 def test_recall_of_nearest(spark, n, most_cells):
     """Vectors without clusters, the hardest case: several cells, some of them not probed."""
