@@ -352,6 +352,29 @@ def test_one_letter_variants_are_linked(spark):
     assert len(left_of(spark, lines)) <= 204
 
 
+def test_line_dedup_runs_no_python(spark, monkeypatch):
+    """Sets and bands are column functions; lines of similarity 0.8 share a band whatever the kinds of their bands."""
+    for name in ("mapInArrow", "mapInPandas"):
+        monkeypatch.setattr(type(spark.range(0)), name, lambda *a, **k: pytest.fail("Python on the executors"))
+    own = random.Random(10)
+    lines = ["a", "ABCDE", "é" * 6, "😀" * 7 + "x", *("".join(own.choice("aB é日😀") for _ in range(own.randrange(1, 40))) for _ in range(50))]
+    sets = line_dedup.with_sets(spark.createDataFrame([(x,) for x in lines], "line string"))
+    assert all(r["n"] == len(every_set(r["line"])) for r in sets.selectExpr("line", "size(set) as n").collect())
+    pairs = []
+    for n in (9, 15, 16, 17, 20, 22, 51, 60, 64, 72, 80, 90, 200):
+        for _ in range(30):
+            line = "".join(chr(0x4E00 + own.randrange(20_000)) for _ in range(n + 4))
+            pairs.append((line, line[n // 9 :] + "".join(chr(0xAC00 + own.randrange(9_000)) for _ in range(n // 9))))
+    rows = [(2 * i + j, x) for i, pair in enumerate(pairs) for j, x in enumerate(pair)]
+    bands = line_dedup.bands_of(line_dedup.with_sets(spark.createDataFrame(rows, "k long, line string")))
+    of = {}
+    for r in bands.collect():
+        of.setdefault(r["k"], set()).add(r["band"])
+    assert np.mean([bool(of[2 * i] & of[2 * i + 1]) for i in range(len(pairs))]) > 0.98
+    docs = spark.createDataFrame([(i, x) for i, pair in enumerate(pairs[-60:]) for x in ["\n".join(pair)]], "doc_id long, text string")
+    assert sum(r["n_removed"] for r in line_dedup.line_counts(docs).collect()) >= 58
+
+
 def test_rows_of_one_doc_id_keep_their_own_lines(spark):
     docs = spark.createDataFrame([(1, "a copy of both\nleft alone"), (2, "a copy of both\nfirst text"), (2, "unique here\nsecond text"), (2, "unique here\nsecond text")], "doc_id long, text string")
     got = sorted((r["doc_id"], r["text"]) for r in line_dedup.deduplicated(docs).collect())
